@@ -58,6 +58,23 @@ def _running_starts(gaps: Column, sizes: Column) -> Column:
     return F.aggregate(step, first, add, lambda state: state["spans"])
 
 
+def _entry(i: int, rule: Rule) -> Column:
+    """The ledger entry of a rule for the matched strings in hit{i}; null where the rule is not to run."""
+    hit = F.col(f"hit{i}")
+    sizes = F.transform(hit, lambda m: F.length(m))
+    kept = sizes
+    if rule.group:
+        kept = F.transform(F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)), lambda m: F.length(m))
+    gaps = F.transform(F.split("text", rule.pattern, -1), lambda g: F.length(g))
+    spans = F.zip_with(_running_starts(gaps, sizes), kept, lambda s, n: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), n.alias("n")))
+    spans = F.transform(
+        F.filter(spans, lambda x: x["n"] >= rule.least),
+        lambda x: F.struct(x["start"].alias("start"), F.lit(i).alias("rank"), F.lit(rule.kind).alias("kind"), x["stop"].alias("stop")),
+    )
+    spans = F.when(F.size(hit) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(hit.isNotNull(), F.struct(F.lit(rule.kind).alias("rule"), F.lit(rule.version).alias("version"), spans.alias("spans")))
+
+
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """blob, and for each rule of its column `todo` a row (rule, version, spans) with code-point spans.
 
@@ -67,21 +84,7 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for i, rule in enumerate(rules):
         hits = F.when(F.array_contains("todo", rule.kind), F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0)))
         found = found.withColumn(f"hit{i}", hits)
-    parts = []
-    for i, rule in enumerate(rules):
-        some = F.size(f"hit{i}") > 0
-        gaps = F.transform(F.split("text", rule.pattern, -1), F.length)
-        sizes = F.transform(F.col(f"hit{i}"), F.length)
-        kept = F.transform(F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)), F.length) if rule.group else sizes
-        spans = F.zip_with(_running_starts(gaps, sizes), kept, lambda s, n: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), n.alias("n")))
-        spans = F.transform(
-            F.filter(spans, lambda x, least=rule.least: x["n"] >= least),
-            lambda x, i=i, kind=rule.kind: F.struct(x["start"].alias("start"), F.lit(i).alias("rank"), F.lit(kind).alias("kind"), x["stop"].alias("stop")),
-        )
-        none = F.array().cast(f"array<{SPAN}>")
-        parts.append(
-            F.when(F.col(f"hit{i}").isNotNull(), F.struct(F.lit(rule.kind).alias("rule"), F.lit(rule.version).alias("version"), F.when(some, spans).otherwise(none).alias("spans")))
-        )
+    parts = [_entry(i, rule) for i, rule in enumerate(rules)]
     rows = found.select("blob", F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("x"))
     return rows.select("blob", "x.rule", "x.version", "x.spans")
 

@@ -10,6 +10,7 @@ rises as leaves are scanned.  Each shard returns at most k rows for a query; a w
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -101,7 +102,7 @@ def search(
             hit = keep.any(axis=1)
             if hit.any():
                 asking = asking[hit]
-                scores = np.where(keep[hit], scores, floor)
+                scores = np.where(keep[hit], scores[hit], floor)
                 found = np.where(keep[hit], ids[rows][None, :], np.iinfo(np.int64).max)
                 top[asking], top_ids[asking] = better(
                     np.concatenate([top[asking], scores], 1), np.concatenate([top_ids[asking], found], 1), k
@@ -130,11 +131,13 @@ def quantized(vectors: DataFrame, id_column: str, vector_column: str, scale: flo
     x: Column = F.col(vector_column).cast("array<double>")
     sound = F.forall(x, lambda y: y.isNotNull() & ~F.isnan(y) & (F.abs(y) < F.lit(float("inf"))))
 
+    edge = sys.float_info.max
+
     def whole(y: Column) -> Column:  # doubles beyond 2^53 are whole already
         return F.when(F.abs(y) < F.lit(2.0**53), F.floor(y).cast("double")).otherwise(y)
 
     rows = vectors.filter(F.col(id_column).isNotNull() & x.isNotNull() & sound).select(
-        F.col(id_column).cast("long").alias("id"), F.transform(x, lambda y: whole(F.lit(scale) * y)).alias("vector")
+        F.col(id_column).cast("long").alias("id"), F.transform(x, lambda y: whole(F.least(F.greatest(F.lit(scale) * y, F.lit(-edge)), F.lit(edge)))).alias("vector")
     )
     return rows.groupBy("id").agg(F.min("vector").alias("vector"))
 
