@@ -8,16 +8,12 @@ shunting-yard and evaluated to the sets of licences that satisfy it.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from varloom.llm.common import empty_for_null
+from varloom.llm.common import map_texts
 
 # The base phrases and their labels.
 BASE_PHRASES = {
@@ -172,7 +168,7 @@ def scan_text(text: str) -> tuple:
     )
 
 
-COLUMNS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+COLUMNS = dict.fromkeys(("n_words", "n_base", "first_word", "last_word"), "long") | {"base_labels": "string", "labels": "string", "score": "double"}
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -182,13 +178,8 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     each; other columns are ignored; an empty table gives an empty result.
     """
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = pd.DataFrame([scan_text(t) for t in batch["text"]], columns=COLUMNS)
-            made = made.astype({"n_words": np.int64, "n_base": np.int64, "first_word": "Int64", "last_word": "Int64", "score": np.float64})
-            yield pd.concat([batch[["key"]].reset_index(drop=True), made], axis=1)
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), empty_for_null(text).alias("text"))
-    schema = f"key {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    return rows.mapInPandas(blocks, schema).withColumnRenamed("key", key)
+    def work():
+        return lambda texts: (None, list(zip(*map(scan_text, texts))))
+
+    return map_texts(docs, (key,), text, COLUMNS, work)

@@ -15,14 +15,16 @@ from functools import cache
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import empty_for_null
+from varloom.llm.common import ARROW, map_texts
 
 RATE = 8000
 UNIT = 64
+#: Blobs looked at together; bounds memory.
+AT_ONCE = 256
 
 
 def wave(payload: bytes) -> bytes:
@@ -167,15 +169,13 @@ def feature_of(kind: str, payload: bytes, embedded: list[tuple[str, int, int]])
 def store(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_bytes, declared, media: every whole text, padded with zero bytes to a positive multiple of 64."""
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
-            padded = [r + bytes(max(UNIT, -(-len(r) // UNIT) * UNIT) - len(r)) for r in raw]
-            yield pd.DataFrame({"key": batch["key"], "n_bytes": [len(r) for r in raw], "declared": "text/plain", "media": [wave(p) for p in padded]})
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), empty_for_null(text).alias("text"))
-    return rows.mapInPandas(blocks, f"key {kind}, n_bytes long, declared string, media binary").withColumnRenamed("key", key)
+    def block(texts: list[str]):
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        padded = [r + bytes(max(UNIT, -(-len(r) // UNIT) * UNIT) - len(r)) for r in raw]
+        return None, [[len(r) for r in raw], ["text/plain"] * len(raw), [wave(p) for p in padded]]
+
+    return map_texts(docs, (key,), text, {"n_bytes": "long", "declared": "string", "media": "binary"}, lambda: block)
 
 
 def inspect(media: DataFrame, key: str = "doc_id", declared: str = "declared", blob: str = "media") -> DataFrame:
@@ -185,24 +185,29 @@ def inspect(media: DataFrame, key: str = "doc_id", declared: str = "declared", b
     columns are ignored; rows with null or repeated keys stay; an empty table gives an empty result.
     """
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for told, stored in zip(batch["declared"], batch["media"]):
-                stored = bytes(stored)
-                found = sniff(stored)
-                whole = next((x for x in found if x[1] == 0), None)
-                kind = whole[0] if whole else told
-                payload = read_payload(stored, kind) if whole else stored
-                rows.append((
-                    kind, kind != told, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(stored),
-                    hashlib.sha256(stored).hexdigest(), feature_of(kind, payload, [x for x in found if x[1]]),
-                ))
-            names = ["media_type", "corrected", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            yield pd.concat([batch[["key", "n"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
+
+    def look(told: str, stored: bytes) -> tuple:
+        found = sniff(stored)
+        whole = next((x for x in found if x[1] == 0), None)
+        kind = whole[0] if whole else told
+        payload = read_payload(stored, kind) if whole else stored
+        return (
+            kind, kind != told, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(stored),
+            hashlib.sha256(stored).hexdigest(), feature_of(kind, payload, [x for x in found if x[1]]),
+        )
+
+    made = {"media_type": "string", "corrected": "boolean", "payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                values = list(zip(*(look(told.as_py(), stored.as_py()) for told, stored in zip(part.column(2), part.column(3)))))
+                arrays = [pa.array(v, ARROW[k]) for v, k in zip(values, made.values())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *arrays], names=["key", "n", *made])
 
     kind = media.schema[key].dataType.simpleString()
     n = F.col("n_bytes") if "n_bytes" in media.columns else F.octet_length(blob).cast("long")
     rows = media.select(F.col(key).alias("key"), n.alias("n"), F.coalesce(F.col(declared), F.lit("")).alias("declared"), F.coalesce(F.col(blob), F.lit(b"")).alias("media"))
-    schema = f"key {kind}, n long, media_type string, corrected boolean, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return rows.mapInPandas(blocks, schema).withColumnsRenamed({"key": key, "n": "n_bytes"})
+    schema = ", ".join([f"key {kind}", "n long", *(f"{n} {k}" for n, k in made.items())])
+    return rows.mapInArrow(batches, schema).withColumnsRenamed({"key": key, "n": "n_bytes"})

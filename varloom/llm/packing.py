@@ -15,12 +15,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from varloom.llm.common import durable, empty_for_null
+from varloom.llm.common import durable, map_texts
 from varloom.llm.tokens import RUNS, dictionary
 
 #: A length's pieces are ranked in this many parts, so that one common length does not meet in one task.
@@ -118,24 +118,21 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int, keep: t
     """keep, piece, start, length, ids_crc32: every document's ids and the end id, cut only where longer."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            runs = [RUNS.findall(t) for t in batch["__text"]]
-            distinct = list(set().union(*map(set, runs))) if runs else []
-            ids = dict(zip(distinct, dictionary(vocabulary, ids=True).lookup(distinct)))
-            rows = []
-            for i, found in enumerate(runs):
-                data = b"".join([ids[t] for t in found]) + end
-                for piece, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            made = pd.DataFrame(rows, columns=["i", "piece", "start", "length", "ids_crc32"])
-            kept = batch.drop(columns="__text").iloc[made["i"].to_numpy(np.int64)].reset_index(drop=True)
-            yield pd.concat([kept, made.drop(columns="i")], axis=1)
-
-    rows = docs.select(*keep, empty_for_null(text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return rows.mapInPandas(blocks, f"{schema}, piece int, start long, length long, ids_crc32 long")
+    def block(texts: list[str]):
+        runs = [RUNS.findall(t) for t in texts]
+        distinct = list(set().union(*runs))
+        ids = dict(zip(distinct, dictionary(vocabulary, ids=True).lookup(distinct)))
+        rows = []
+        for i, found in enumerate(runs):
+            data = b"".join([ids[t] for t in found]) + end
+            for piece, at in enumerate(range(0, len(data), 4 * capacity)):
+                part = data[at : at + 4 * capacity]
+                rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+        index, *values = zip(*rows)
+        return np.array(index), values
+
+    made = {"piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
+    return map_texts(docs, keep, text, made, lambda: block)
 
 
 def pack(
@@ -157,16 +154,15 @@ def pack(
     plan = best_fit_decreasing(number.sum(axis=1), capacity)
     shared = docs.sparkSession.sparkContext.broadcast((plan, before))
 
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, ahead = shared.value
         for batch in batches:
-            if len(batch):
-                length = batch["length"].to_numpy(np.int64)
-                rank = batch["rank"].to_numpy(np.int64) - 1 + ahead[length, batch["salt"].to_numpy(np.int64)]
-                bins, offset = place(own, length, rank)
-                yield batch.drop(columns=["rank", "salt"]).assign(sequence_id=bins, offset=offset)
+            length, salts, ranks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "salt", "rank"))
+            bins, offset = place(own, length, ranks - 1 + ahead[length, salts])
+            made = [pa.array(bins, pa.int64()), pa.array(offset, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=[*batch.schema.names[:-2], "sequence_id", "offset"])
 
     order = Window.partitionBy("length", "salt").orderBy(*keep, "piece", "ids_crc32")
     ranked = cut.withColumn("rank", F.row_number().over(order))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.drop("salt").schema)
-    return ranked.mapInPandas(placed, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(placed, f"{schema}, sequence_id long, offset long")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable, empty_for_null
+from varloom.llm.common import durable, map_texts
 from varloom.llm.components import components
 
 BITS = 64
@@ -89,14 +89,10 @@ def mixed(hashes: np.ndarray, multiplier: int) -> np.ndarray:
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4) -> DataFrame:
     """key, fp: the signed 64-bit fingerprint of every row (0 for texts without words)."""
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fp = [majority(shingle_hashes(words_of(t), size)) for t in batch["text"]]
-            yield pd.DataFrame({"key": batch["key"], "fp": np.array(fp, dtype=np.int64)})
+    def work():
+        return lambda texts: (None, [[majority(shingle_hashes(words_of(t), size)) for t in texts]])
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), empty_for_null(text).alias("text"))
-    return rows.mapInPandas(blocks, f"key {kind}, fp long").withColumnRenamed("key", key)
+    return map_texts(docs, (key,), text, {"fp": "long"}, work)
 
 
 def wide_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
@@ -112,16 +108,12 @@ def wide_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
         cut = [shingles[i : i + AT_ONCE] for i in range(0, len(shingles), AT_ONCE)]
         return (majority(iter([single])), *(majority(mixed(h, m) for h in cut) for m in MIX))
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["fp", *(f"w{i}" for i in range(len(MIX)))]
-        for batch in batches:
-            made = np.array([one(t) for t in batch["text"]], dtype=np.int64).reshape(-1, len(names))
-            yield pd.concat([batch[["key"]].reset_index(drop=True), pd.DataFrame(made, columns=names)], axis=1)
+    names = ("fp", *(f"w{i}" for i in range(len(MIX))))
+
+    def work():
+        return lambda texts: (None, list(zip(*map(one, texts))))
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), empty_for_null(text).alias("text"))
-    columns = ", ".join(f"w{i} long" for i in range(len(MIX)))
-    return rows.mapInPandas(blocks, f"key {kind}, fp long, {columns}").withColumnRenamed("key", key)
+    return map_texts(docs, (key,), text, dict.fromkeys(names, "long"), work)
 
 
 # ---- partitions, thresholds and probes

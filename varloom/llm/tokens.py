@@ -1,6 +1,6 @@
 """Token counts: each distinct pre-token is cut into pieces once, and documents add up frequencies.
 
-A block of documents (one Arrow batch) becomes a table of (document, pre-token, frequency).  The distinct
+A block of documents (part of an Arrow batch) becomes a table of (document, pre-token, frequency).  The distinct
 pre-tokens of the block that the task has not met before are tokenised in one call; their piece counts are
 then joined to the frequencies by an integer code and summed per document, so no document's ids exist.
 
@@ -16,16 +16,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from varloom.llm.common import empty_for_null
+from varloom.llm.common import empty_for_null, map_texts
 
 #: Runs between characters that the tokenizer's own rule for white space contains.
 RUNS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -98,15 +96,8 @@ def count_tokens(
     ignored, whatever their names.  An empty table gives an empty result.
     """
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            counts = block_counts(batch["text"].tolist(), vocabulary)
-            yield pd.DataFrame({"key": batch["key"], "n_bytes": batch["n_bytes"], "n_tokens": counts})
-
-    kind = docs.schema[key].dataType.simpleString()
-    return (
-        docs.select(F.col(key).alias("key"), empty_for_null(text).alias("text"))
-        .select("key", "text", F.octet_length("text").cast("long").alias("n_bytes"))
-        .mapInPandas(blocks, f"key {kind}, n_bytes long, n_tokens long")
-        .select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-    )
+    def work():
+        return lambda texts: (None, [block_counts(texts, vocabulary)])
+
+    counted = map_texts(docs.withColumn("__n", F.octet_length(empty_for_null(text)).cast("long")), (key, "__n"), text, {"n_tokens": "long"}, work)
+    return counted.select(key, F.col("__n").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

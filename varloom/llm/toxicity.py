@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import empty_for_null
+from varloom.llm.common import empty_for_null, map_texts
 
 SAMPLE_ROWS = 6000
 FEATURES = 1024
@@ -152,8 +152,8 @@ def train(sample: DataFrame, grades: int = 3, most_features: int = FEATURES) ->
     return Model(features, w, theta)
 
 
-def score(docs: DataFrame, model: Model, reject_at: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, severity, grade, p_toxic, rejected for every row of docs.
+def score(docs: DataFrame, model: Model, reject_at: float = 0.5, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """keep, severity, grade, p_toxic, rejected for every row of docs.
 
     severity is the expected grade, grade the most probable one, p_toxic = P(grade > 0); rows with
     p_toxic >= reject_at are rejected.  Null texts count as empty; null and repeated keys keep a row each; other
@@ -161,20 +161,20 @@ def score(docs: DataFrame, model: Model, reject_at: float = 0.5, key: str = "doc
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work():
         known = shared.value
         vectorizer = Vectorizer(known.features)
-        for batch in batches:
-            texts = batch["text"].tolist()
-            above = np.concatenate([known.exceed(vectorizer.rows(texts[i : i + 1024])) for i in range(0, len(texts), 1024)] or [np.zeros((0, len(known.thresholds)))])
+
+        def block(texts: list[str]):
+            above = np.concatenate([known.exceed(vectorizer.rows(texts[i : i + 1024])) for i in range(0, len(texts), 1024)])
             edges = np.concatenate([np.ones((len(texts), 1)), above, np.zeros((len(texts), 1))], axis=1)
             grade = (edges[:, :-1] - edges[:, 1:]).argmax(axis=1)
-            yield pd.DataFrame({"key": batch["key"], "severity": above.sum(axis=1).round(6), "grade": grade, "p_toxic": above[:, 0].round(6)})
+            rejected = above[:, 0] >= reject_at
+            return None, [above.sum(axis=1).round(6), grade.astype(np.int32), above[:, 0].round(6), rejected]
+
+        return block
 
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), empty_for_null(text).alias("text"))
-    out = rows.mapInPandas(blocks, f"key {kind}, severity double, grade int, p_toxic double")
-    return out.select(F.col("key").alias(key), "severity", "grade", "p_toxic", (F.col("p_toxic") >= reject_at).alias("rejected"))
+    return map_texts(docs, keep, text, {"severity": "double", "grade": "int", "p_toxic": "double", "rejected": "boolean"}, work)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
