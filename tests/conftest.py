@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -11,7 +12,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', 8)}]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
