@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.functions import alleles
+from varloom.functions.hashing import BOUND, seeded
 from varloom.operators.intervals import nearest_gene, range_join
 
 SITE = ["chrom", "pos", "ref", "alt"]
@@ -241,8 +242,8 @@ def random_half(samples: DataFrame, seed: int) -> DataFrame:
 
     The median hash is found by rank counting within 4096 hash ranges, so no task sorts all samples.
     """
-    h = F.xxhash64("sample_id", F.lit(seed))
-    rows = samples.select("sample_id").withColumn("h", h).withColumn("part", F.floor((F.col("h") / 18446744073709551616.0 + 0.5) * 4096).cast("int"))
+    h = seeded(F.col("sample_id"), seed)
+    rows = samples.select("sample_id").withColumn("h", h).withColumn("part", F.floor(F.col("h") / float(BOUND) * 4096).cast("int"))
     sizes = rows.groupBy("part").count()
     running = sizes.withColumn("before", F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     running = running.withColumn("total", F.sum("count").over(Window.partitionBy())).drop("count")

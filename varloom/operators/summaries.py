@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from varloom.functions.hashing import BOUND, seeded
+
 
 def _n(condition: Column) -> Column:
     return F.count_if(condition)
@@ -173,7 +175,7 @@ def concordance_metrics(table: DataFrame, keep: list[str]) -> DataFrame:
 
 def duplicate_pairs(samples: DataFrame, subject: Column, seed: int = 1) -> DataFrame:
     """One pair (id1, id2) for every subject with two samples or more, chosen by a seeded hash."""
-    order = Window.partitionBy("subject").orderBy(F.xxhash64("sample_id", F.lit(seed)), "sample_id")
+    order = Window.partitionBy("subject").orderBy(seeded(F.col("sample_id"), seed), "sample_id")
     picked = samples.select(subject.alias("subject"), "sample_id").withColumn("i", F.row_number().over(order)).filter("i <= 2")
     out = picked.groupBy("subject").agg(F.min(F.when(F.col("i") == 1, F.col("sample_id"))).alias("id1"), F.min(F.when(F.col("i") == 2, F.col("sample_id"))).alias("id2"))
     return out.filter("id2 is not null")
@@ -246,20 +248,20 @@ def setid_expand(loci: DataFrame) -> DataFrame:
 def permute_phenotypes(samples: DataFrame, seed: int, column: str = "case_status", parts: int = 64) -> DataFrame:
     """sample_id and the phenotype of another sample, a seeded permutation.
 
-    Rows and donors are both ranked, one by id and one by hash; ranks come from ranks within hash parts plus the
+    Rows and donors are both ranked by hashes of their ids, under seed 0 and the given one; ranks come from ranks within hash parts plus the
     sizes of the parts before, so no single task sorts all samples.
     """
 
     def ranked(order: Column, name: str, value: Column) -> DataFrame:
         rows = samples.select(order.alias("o"), "sample_id", value.alias(name))
-        rows = rows.withColumn("part", F.floor((F.col("o") / 18446744073709551616.0 + 0.5) * parts).cast("int"))
+        rows = rows.withColumn("part", F.floor(F.col("o") / float(BOUND) * parts).cast("int"))
         sizes = rows.groupBy("part").count()
         before = sizes.withColumn("before", F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
         rows = rows.withColumn("rn", F.row_number().over(Window.partitionBy("part").orderBy("o", "sample_id")))
         return rows.join(F.broadcast(before), "part").select((F.coalesce("before", F.lit(0)) + F.col("rn")).alias("rank"), name)
 
-    own = ranked(F.xxhash64("sample_id"), "own", F.col("sample_id"))
-    donor = ranked(F.xxhash64("sample_id", F.lit(seed)), "donor", F.struct(F.col(column).alias("v")))
+    own = ranked(seeded(F.col("sample_id"), 0), "own", F.col("sample_id"))
+    donor = ranked(seeded(F.col("sample_id"), seed), "donor", F.struct(F.col(column).alias("v")))
     return own.join(donor, "rank").select(F.col("own").alias("sample_id"), F.col("donor.v").alias(column))
 
 

@@ -126,7 +126,11 @@ def _(v):
     return summaries.concordance_metrics(summaries.concordance_table(summaries.paired_states(v.genotypes, v.calls2), "sample_id"), ["sample_id"])
 
 
-@query("duplicate_pairs")
+HASH = "CAST('0x' || substr(md5(CAST(sample_id AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
+
+
+@query("duplicate_pairs", f""", r AS (SELECT fid, sample_id, row_number() OVER (PARTITION BY fid ORDER BY {HASH.format(seed=1)}, sample_id) AS i FROM samples)
+ SELECT fid AS subject, max(sample_id) FILTER (i = 1) AS id1, max(sample_id) FILTER (i = 2) AS id2 FROM r GROUP BY fid HAVING count(*) > 1""")
 def _(v):
     return summaries.duplicate_pairs(v.samples, F.col("fid"))
 
@@ -173,7 +177,8 @@ def _(v):
     return summaries.setid_expand(v.variants.select("variant_id", F.concat_ws("|", "gene", "filter", "gene").alias("bins")))
 
 
-@query("permute_phenotypes")
+@query("permute_phenotypes", f""", o AS (SELECT sample_id, row_number() OVER (ORDER BY {HASH.format(seed=0)}, sample_id) AS r FROM samples),
+ d AS (SELECT case_status, row_number() OVER (ORDER BY {HASH.format(seed=11)}, sample_id) AS r FROM samples) SELECT sample_id, case_status FROM o JOIN d USING (r)""")
 def _(v):
     return summaries.permute_phenotypes(v.samples, 11)
 

@@ -285,7 +285,11 @@ def _(v):
     return joins.dup_groups(v.variants, "gene")
 
 
-@query("random_half")
+HASH = "CAST('0x' || substr(md5(CAST(sample_id AS VARCHAR) || ':{seed}'), 1, 15) AS BIGINT)"
+HALF = f""", hf AS (SELECT sample_id, row_number() OVER (ORDER BY {HASH.format(seed=5)}, sample_id) * 2 <= count(*) OVER () AS pseudo_case FROM samples)"""
+
+
+@query("random_half", HALF + " SELECT * FROM hf")
 def _(v):
     return joins.random_half(v.samples, 5)
 
@@ -322,9 +326,12 @@ def _(v):
     return rows.select("variant_id", "n", F.round("beta", 6).alias("beta"), F.round("r2", 6).alias("r2"))
 
 
-@query("assoc_linear_adjusted")
+@query("assoc_linear_adjusted", """, q AS (SELECT variant_id, CAST(dosage AS DOUBLE) AS x, CAST(sex AS DOUBLE) AS z, trait AS y FROM genotypes JOIN samples USING (sample_id) WHERE dosage IS NOT NULL),
+ s AS (SELECT variant_id, count(*) AS n, covar_pop(x, x) AS xx, covar_pop(z, z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM q GROUP BY variant_id)
+ SELECT variant_id, n, CASE WHEN n > 3 AND xx * zz - xz * xz > 1e-6 THEN round((xy * zz - zy * xz) / (xx * zz - xz * xz), 4) END AS beta FROM s""")
 def _(v):
-    return statistics.assoc_linear_adjusted(v.genotypes, v.samples, "trait", ["sex"])
+    out = statistics.assoc_linear_adjusted(v.genotypes, v.samples, "trait", ["sex"])
+    return out.select("variant_id", "n", F.round("beta", 4).alias("beta"))
 
 
 @query("assoc_logistic")
@@ -384,9 +391,13 @@ def _(v):
     return statistics.whole_genome_regression(v.genotypes, v.variants, v.samples, "trait", 50, 10.0)
 
 
-@query("batch_effect")
+@query("batch_effect", HALF + """, q AS (SELECT variant_id, dosage, pseudo_case FROM genotypes JOIN hf USING (sample_id) WHERE dosage IS NOT NULL),
+ t AS (SELECT variant_id, CAST(coalesce(sum(dosage) FILTER (pseudo_case), 0) AS BIGINT) AS a, CAST(coalesce(sum(2 - dosage) FILTER (pseudo_case), 0) AS BIGINT) AS b,
+ CAST(coalesce(sum(dosage) FILTER (NOT pseudo_case), 0) AS BIGINT) AS c, CAST(coalesce(sum(2 - dosage) FILTER (NOT pseudo_case), 0) AS BIGINT) AS d FROM q GROUP BY variant_id)
+ SELECT variant_id, a, b, c, d, round(CASE WHEN (a + b) * (c + d) * (a + c) * (b + d) > 0 THEN CAST(a + b + c + d AS DOUBLE) * (a * d - b * c) * (a * d - b * c) / (CAST(a + b AS DOUBLE) * (c + d) * (a + c) * (b + d)) END, 6) AS chisq,
+ round(CASE WHEN b * c > 0 THEN CAST(a * d AS DOUBLE) / (b * c) END, 6) AS odds_ratio FROM t""")
 def _(v):
-    return statistics.batch_effect(v.genotypes, joins.random_half(v.samples, 5))
+    return six(statistics.batch_effect(v.genotypes, joins.random_half(v.samples, 5)), "chisq", "odds_ratio")
 
 
 @query("interaction_pairs")
@@ -554,7 +565,10 @@ def _(v):
     return text.plink_rows(lines, text.BIM).select("chrom", "id", "pos", "a1", "a2")
 
 
-@query("sink_plink")
+@query("sink_plink", """, ix AS (SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS i FROM samples), vs AS (SELECT DISTINCT variant_id FROM genotypes),
+ cells AS (SELECT vs.variant_id, i // 4 AS octet, sum(CAST(pow(4, i % 4) AS BIGINT) * CASE dosage WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END) AS b
+ FROM vs CROSS JOIN ix LEFT JOIN genotypes g ON g.variant_id = vs.variant_id AND g.sample_id = ix.sample_id GROUP BY 1, 2)
+ SELECT variant_id, string_agg(printf('%02X', CAST(b AS INT)), '' ORDER BY octet) AS bed FROM cells GROUP BY variant_id""")
 def _(v):
     return sinks.packed_bed(v.genotypes, v.samples).select("variant_id", F.hex("bed").alias("bed"))
 
@@ -639,3 +653,14 @@ def _(v):
 def _(v):
     s = text.scan_vcf(vcf_lines(v)).withColumn("alt", F.col("alts")[0])
     return sinks.convert_hgmd_vcf(s)
+
+
+@query("scan_rdb", "SELECT user_id, count(*) AS n FROM events WHERE event_type = 'purchase' AND value > 10 GROUP BY user_id")
+def _(v):
+    return text.extract(v.events, "SELECT user_id, count(*) AS n FROM {source} WHERE event_type = 'purchase' AND value > 10 GROUP BY user_id")
+
+
+@query("scan_many", "SELECT 'calls/s' || sample_id || '.vcf.gz' AS data, 'index/s' || sample_id || '.tbi' AS companion FROM samples WHERE sample_id % 3 <> 0")
+def _(v):
+    data = v.samples.select(F.concat(F.lit("calls/s"), "sample_id", F.lit(".vcf.gz")).alias("path"))
+    return text.pair_inputs(data, v.samples.filter("sample_id % 3 <> 0").select(F.concat(F.lit("index/s"), "sample_id", F.lit(".tbi")).alias("path")))

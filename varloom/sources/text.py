@@ -155,12 +155,23 @@ def scan_bins(lines: DataFrame, sep: str = ",") -> DataFrame:
     return rows.withColumn("value", missing_to_null(F.col("value")))
 
 
+def extract(table: DataFrame, query: str) -> DataFrame:
+    """A relational extract from a table that is at hand as a DataFrame, called {source} in the query."""
+    return table.sparkSession.sql(query, source=table)
+
+
+def pair_inputs(data: DataFrame, companions: DataFrame) -> DataFrame:
+    """data, companion of paths (column path) that share a base name."""
+    base = F.regexp_extract(F.col("path"), r"([^/]+?)(\.[a-z]+)*$", 1)
+    a = data.select(F.col("path").alias("data"), base.alias("base"))
+    b = companions.select(F.col("path").alias("companion"), base.alias("base"))
+    return a.join(b, "base").select("data", "companion")
+
+
 def scan_many(spark: SparkSession, data: list[str], companions: list[str]) -> DataFrame:
-    """data, companion by shared base name; fails where the numbers differ."""
-    base = F.regexp_extract(F.col("p"), r"([^/]+?)(\.[a-z]+)*$", 1)
-    a = spark.createDataFrame([(p,) for p in data], "p string").select(F.col("p").alias("data"), base.alias("base"))
-    b = spark.createDataFrame([(p,) for p in companions], "p string").select(F.col("p").alias("companion"), base.alias("base"))
-    both = a.join(b, "base")
+    """The same for lists of paths; fails where they do not all pair up."""
+    frames = [spark.createDataFrame([(p,) for p in paths], "path string") for paths in (data, companions)]
+    both = pair_inputs(*frames)
     if not both.count() == len(data) == len(companions):
         raise ValueError("inputs and companions do not pair up")
     return both
