@@ -154,13 +154,29 @@ def nearest_gene(variants: DataFrame, genes: DataFrame) -> DataFrame:
     return one_way("stop", True).join(one_way("start", False), "variant_id")
 
 
+def position_rank(variants: DataFrame, *ties: str) -> DataFrame:
+    """The rows with rank (from 1) by chrom and pos and `total`, the rows of the chromosome.
+
+    Rows are ranked within bins of positions; the rows of the bins before come from per-bin counts, so no task
+    sorts a whole chromosome.
+    """
+    rows = variants.withColumn("__bin", F.floor(F.col("pos") / BIN))
+    counts = rows.groupBy("chrom", "__bin").agg(F.count("*").alias("__n"))
+    order = Window.partitionBy("chrom").orderBy("__bin")
+    before = counts.select(
+        "chrom", "__bin", F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy("chrom")).alias("total")
+    )
+    own = F.row_number().over(Window.partitionBy("chrom", "__bin").orderBy("pos", *ties))
+    ranked = rows.withColumn("__own", own).join(before, ["chrom", "__bin"])
+    return ranked.withColumn("rank", F.col("__before") + F.col("__own")).drop("__bin", "__own", "__before")
+
+
 def chunk_with_halo(variants: DataFrame, per_chunk: int, halo: int) -> DataFrame:
     """variant_id, chrom, chunk, core: chunks of about per_chunk variants of a chromosome, each with all variants
     up to `halo` positions beyond its own first and last one."""
-    rank = F.row_number().over(Window.partitionBy("chrom").orderBy("pos", "variant_id"))
-    size = F.count("*").over(Window.partitionBy("chrom"))
-    chunks = F.ceil(size / per_chunk)
-    rows = variants.select("variant_id", "chrom", "pos").withColumn("chunk", F.floor((rank - 1) * chunks / size).cast("int"))
+    chunks = F.ceil(F.col("total") / per_chunk)
+    ranked = position_rank(variants.select("variant_id", "chrom", "pos"), "variant_id")
+    rows = ranked.select("variant_id", "chrom", "pos", F.floor((F.col("rank") - 1) * chunks / F.col("total")).cast("int").alias("chunk"))
     bounds = rows.groupBy("chrom", "chunk").agg((F.min("pos") - halo).alias("start"), (F.max("pos") + halo).alias("stop"))
     joined = range_join(rows, bounds)
     return joined.select("variant_id", "chrom", F.col("r_chunk").alias("chunk"), (F.col("chunk") == F.col("r_chunk")).alias("core"))
@@ -168,9 +184,7 @@ def chunk_with_halo(variants: DataFrame, per_chunk: int, halo: int) -> DataFrame
 
 def balanced_breaks(variants: DataFrame, chunks: int) -> DataFrame:
     """chrom, chunk, start, stop of chunks with equal marker counts; borders lie midway between neighbours."""
-    rank = F.row_number().over(Window.partitionBy("chrom").orderBy("pos"))
-    size = F.count("*").over(Window.partitionBy("chrom"))
-    rows = variants.select("chrom", "pos").withColumn("chunk", F.floor((rank - 1) * chunks / size).cast("int"))
+    rows = position_rank(variants.select("chrom", "pos")).withColumn("chunk", F.floor((F.col("rank") - 1) * chunks / F.col("total")).cast("int"))
     edges = rows.groupBy("chrom", "chunk").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
     order = Window.partitionBy("chrom").orderBy("chunk")
     middle = F.floor((F.lag("last").over(order) + F.col("first")) / 2)

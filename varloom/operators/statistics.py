@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from varloom.operators.intervals import position_rank
+
 
 @F.pandas_udf(T.DoubleType())
 def chisq1_p(x: pd.Series) -> pd.Series:
@@ -245,8 +247,8 @@ def whole_genome_regression(genotypes: DataFrame, variants: DataFrame, samples:
     y = samples.select("sample_id", F.col(trait).cast("double").alias("y")).filter("y is not null")
     mean = y.agg(F.avg("y").alias("mean"))
     y = y.join(F.broadcast(mean)).select("sample_id", (F.col("y") - F.col("mean")).alias("y"))
-    order = F.row_number().over(Window.partitionBy("chrom").orderBy("pos", "variant_id"))
-    blocks = variants.select("variant_id", "chrom", F.floor((order - 1) / block).cast("int").alias("block"))
+    ranked = position_rank(variants.select("variant_id", "chrom", "pos"), "variant_id")
+    blocks = ranked.select("variant_id", "chrom", F.floor((F.col("rank") - 1) / block).cast("int").alias("block"))
     centred = genotypes.filter("dosage is not null").join(blocks, "variant_id").withColumn("x", F.col("dosage") - F.avg("dosage").over(Window.partitionBy("variant_id")))
     rows = centred.join(y, "sample_id").select("chrom", "block", "variant_id", "sample_id", "x", "y")
 

