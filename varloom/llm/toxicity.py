@@ -68,17 +68,25 @@ class Vectorizer:
                 self.words[word] = found
         return found
 
-    def rows(self, texts: list[str]) -> np.ndarray:
-        """Two columns for each feature: how often it occurs, and how often for the text's length."""
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How often each feature occurs in each text, and the texts' words."""
         x = np.zeros((len(texts), len(self.features)), dtype=np.float32)
-        length = np.zeros((len(texts), 1), dtype=np.float32)
+        length = np.zeros(len(texts), dtype=np.int64)
         for i, text in enumerate(texts):
             words = document_words(text)
             length[i] = words.total()
             for word, n in words.items():
                 for f in self.of(word):
                     x[i, f] += n
-        return np.hstack([np.log1p(x), np.log1p(x * TYPICAL_WORDS / (length + 50))])
+        return x, length
+
+    def rows(self, texts: list[str]) -> np.ndarray:
+        return scaled(*self.counts(texts))
+
+
+def scaled(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Two columns for each feature: how often it occurs, and how often for the text's length."""
+    return np.hstack([np.log1p(counts), np.log1p(counts * TYPICAL_WORDS / (words[:, None].astype(np.float32) + 50))])
 
 
 def fit(x: np.ndarray, grade: np.ndarray, grades: int, l2: float = 1e-3, rounds: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +148,7 @@ def train(sample: DataFrame, grades: int = 3, most_features: int = FEATURES) ->
     sample = sample.cache()
     size = {bool(r["g"]): r["count"] for r in sample.groupBy((F.col("grade") > 0).alias("g")).count().collect()}
     clean, graded = float(size.get(False, 0)), float(size.get(True, 0))
-    counts = sample.mapInPandas(counted, "feature string, clean long, graded long").groupBy("feature").agg(F.sum("clean").alias("a"), F.sum("graded").alias("b"))
+    occurrences = sample.mapInPandas(counted, "feature string, clean long, graded long").groupBy("feature").agg(F.sum("clean").alias("a"), F.sum("graded").alias("b"))
 
     def part(n, expected):
         return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
@@ -149,12 +157,27 @@ def train(sample: DataFrame, grades: int = 3, most_features: int = FEATURES) ->
     seen = F.col("a") + F.col("b")
     cells = ((F.col("a"), clean, seen), (F.col("b"), graded, seen), (clean - F.col("a"), clean, total - seen), (graded - F.col("b"), graded, total - seen))
     g = sum((part(n, F.greatest(side * whole / total, F.lit(1e-9))) for n, side, whole in cells), F.lit(0.0)) * 2
-    chosen = counts.filter((seen >= LEAST_DOCS) & (F.col("b") * clean > F.col("a") * graded)).withColumn("g", g).filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "feature").limit(most_features).collect()
+    chosen = occurrences.filter((seen >= LEAST_DOCS) & (F.col("b") * clean > F.col("a") * graded)).withColumn("g", g).filter(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "feature").limit(most_features).collect()
     features = {r["feature"]: i for i, r in enumerate(chosen)}
-    rows = sample.orderBy("grade", "text").toPandas()  # bounded by the caller
+
+    def work():
+        vectorizer = Vectorizer(features)
+
+        def block(texts: list[str]):
+            counts, words = vectorizer.counts(texts)
+            cells = [np.flatnonzero(row) for row in counts]
+            return None, [[c.astype("<i4").tobytes() for c in cells], [row[c].astype("<f4").tobytes() for row, c in zip(counts, cells)], words]
+
+        return block
+
+    # of each row only its non-zero cells reach the driver, whatever the length of its text
+    rows = map_texts(sample, ("grade",), "text", {"cells": "binary", "counts": "binary", "words": "long"}, work).toPandas()
     sample.unpersist()
-    x = Vectorizer(features).rows(rows["text"].tolist())
-    w, theta = fit(x, rows["grade"].to_numpy(np.int64), grades)
+    rows = rows.sort_values(["grade", "words", "cells", "counts"], ignore_index=True)
+    x = np.zeros((len(rows), len(features)), dtype=np.float32)
+    for row, cells, counts in zip(x, rows["cells"], rows["counts"]):
+        row[np.frombuffer(cells, "<i4")] = np.frombuffer(counts, "<f4")
+    w, theta = fit(scaled(x, rows["words"].to_numpy(np.int64)), rows["grade"].to_numpy(np.int64), grades)
     return Model(features, w, theta)
 
 
