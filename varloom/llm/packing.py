@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from varloom.llm.common import durable, map_texts
-from varloom.llm.tokens import RUNS, dictionary
+from varloom.llm.tokens import dictionary
 
 #: A length's pieces are ranked in this many parts, so that one common length does not meet in one task.
 SALTS = 64
@@ -118,21 +118,23 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int, keep: t
     """keep, piece, start, length, ids_crc32: every document's ids and the end id, cut only where longer."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def block(texts: list[str]):
-        runs = [RUNS.findall(t) for t in texts]
-        distinct = list(set().union(*runs))
-        ids = dict(zip(distinct, dictionary(vocabulary, ids=True).lookup(distinct)))
-        rows = []
-        for i, found in enumerate(runs):
-            data = b"".join([ids[t] for t in found]) + end
-            for piece, at in enumerate(range(0, len(data), 4 * capacity)):
-                part = data[at : at + 4 * capacity]
-                rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-        index, *values = zip(*rows)
-        return np.array(index), values
+    def work():
+        known = dictionary(vocabulary, ids=True)
+
+        def block(texts: list[str]):
+            rows = []
+            for i, text in enumerate(texts):
+                data = known.concatenated(text) + end
+                for piece, at in enumerate(range(0, len(data), 4 * capacity)):
+                    part = data[at : at + 4 * capacity]
+                    rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            index, *values = zip(*rows)
+            return np.array(index), values
+
+        return block
 
     made = {"piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
-    return map_texts(docs, keep, text, made, lambda: block)
+    return map_texts(docs, keep, text, made, work)
 
 
 def pack(
