@@ -98,10 +98,13 @@ def test_odd_rows(spark):
     base = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(None, "same text", "en", None, 1), (None, None, None, "s", None), (7, None, "en", "s", 0), (7, "same text", "en", "s", 9), (7, "same text", "en", "s", 9), (8, "x" * 30000, "en", "s", 1)]
     docs = spark.createDataFrame(rows, base.schema)
-    for some in (docs, docs.limit(0)):
+    clashing = docs.selectExpr("*", "1 as rejected", "'x' as severity", "'y' as spans", "2 as blob", "3 as copies", "4 as size", "5 as grade", "'z' as fp", "6 as target")
+    for some in (docs, docs.limit(0), clashing):
         out = some
         for _, stage in corpus_pipeline.STAGES:
+            before = out.columns
             out = stage(spark, out, SF)
+            assert out.columns == before or stage is corpus_pipeline.pack_sequences
         out.collect()
 
 

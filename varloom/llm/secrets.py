@@ -124,19 +124,19 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def scan_paths(
-    docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text"
+    docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, text: str = "text", spans: str = "spans"
 ) -> DataFrame:
-    """Every row of docs with `spans`, the findings of its content (an empty array without any).
+    """Every row of docs with a column `spans`, the findings of its content (an empty array without any).
 
     Null texts count as empty.  Null and repeated keys keep their rows, repeated contents are scanned once, an
-    empty table gives an empty result.  Columns called blob or spans in docs are replaced.
+    empty table gives an empty result.  A column of docs that has the name given for `spans` is replaced.
     """
     new = update_ledger(docs, ledger, rules, text)
     known = new if ledger is None else ledger.select("blob", "rule", "version", "spans").unionByName(new)
-    found = findings(known, rules)
-    keyed = docs.drop("spans", "blob").withColumn("blob", F.sha2(empty_for_null(text).cast("binary"), 256))
-    out = keyed.join(found, "blob", "left").drop("blob")
-    return out.withColumn("spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")))
+    found = findings(known, rules).select(F.col("blob").alias("__blob"), F.col("spans").alias("__found"))
+    keyed = docs.drop(spans).withColumn("__blob", F.sha2(empty_for_null(text).cast("binary"), 256))
+    out = keyed.join(found, "__blob", "left").withColumn(spans, F.coalesce("__found", F.array().cast(f"array<{SPAN}>")))
+    return out.drop("__blob", "__found")
 
 
 def span_text(spans: Column) -> Column:
