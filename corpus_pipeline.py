@@ -22,8 +22,10 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model does not reject.  Texts without words stay."""
     model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
-    scored = toxicity.score(docs, model, keep=tuple(docs.columns))
-    return scored.filter(~F.col("rejected")).select(*docs.columns)
+    # names of our own inside, as docs may have columns that are called like the scores
+    own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    scored = toxicity.score(own, model, keep=tuple(own.columns), text=own.columns[docs.columns.index("text")])
+    return scored.filter(~F.col("rejected")).select(*own.columns).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +44,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with the secrets in its text replaced by a mark and n_chars brought up to date."""
     columns = docs.columns
-    scanned = secrets.scan_paths(docs)
-    text = secrets.redacted(F.col("text"), F.col("spans"))
+    scanned = secrets.scan_paths(docs, spans="__spans")
+    text = secrets.redacted(F.col("text"), F.col("__spans"))
     out = scanned.withColumn("__clean", text)
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        changed = F.size("spans") > 0
+        changed = F.size("__spans") > 0
         out = out.withColumn("n_chars", F.when(changed, F.length("__clean").cast(kind)).otherwise(F.col("n_chars")))
     return out.withColumn("text", F.col("__clean")).select(*columns)
 
