@@ -3,19 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varloom.shipping import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
 
+def shipped(query: Query) -> Query:
+    """The query, run after the executors have the package's code."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        ship(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def keep(query: Query) -> Query:
         if name in _QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = query
+        _QUERIES[name] = shipped(query)
         if oracle is not None:
             _ORACLES[name] = oracle
         return query
