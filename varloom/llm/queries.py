@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from varloom.llm import chat, licenses, media, mixing, packing, secrets, simhash, tokens, topk, toxicity
 from varloom.llm.common import table
+from varloom.plans.registry import shipped
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +54,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_toxicity, op2_exact_topk, op3_secret_scan, op4_token_counts, op5_chat_format, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_media_sniffing, op10_source_mix)
-    return {q.__name__: q for q in own}
+    return {q.__name__: shipped(q) for q in own}
 
 
 def oracle_sql() -> dict[str, str]:
