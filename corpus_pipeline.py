@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from varloom.llm import mixing, packing, secrets, simhash, toxicity
 from varloom.llm.common import empty_for_null, table
+from varloom.plans.registry import shipped
 
 #: The stages draw on trained models, fingerprints and random rounding, which SQL cannot express.
 ORACLE_SQL = None
@@ -76,11 +77,11 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_copies),
-    ("secrets", mask_secrets),
-    ("mixing", mix_sources),
-    ("packing", pack_sequences),
+    ("toxicity", shipped(drop_toxic)),
+    ("near_duplicates", shipped(drop_near_copies)),
+    ("secrets", shipped(mask_secrets)),
+    ("mixing", shipped(mix_sources)),
+    ("packing", shipped(pack_sequences)),
 ]
 
 
