@@ -43,16 +43,24 @@ def _binned_intervals(regions: DataFrame, chrom: str, start: str, stop: str) ->
     return rows.withColumn("__bin", F.explode(F.sequence(first, last)))
 
 
-def _point_bins(pos):
-    own = [F.struct(F.lit(n).alias("level"), F.floor(pos / (BIN * FACTOR**n)).alias("bin")) for n in range(LEVELS - 1)]
-    return F.array(*own, F.struct(F.lit(LEVELS - 1).alias("level"), F.lit(0).cast("long").alias("bin")))
+def _levels(binned: DataFrame) -> list[int]:
+    """The levels that the intervals use, at most LEVELS numbers; mostly one, and then points need one bin only."""
+    return sorted(r[0] for r in binned.select("__level").distinct().collect()) or [0]
+
+
+def _bin_at(pos, level: int):
+    return F.lit(0).cast("long") if level == LEVELS - 1 else F.floor(pos / (BIN * FACTOR**level))
+
+
+def _point_bins(pos, levels=range(LEVELS)):
+    return F.array(*(F.struct(F.lit(n).alias("level"), _bin_at(pos, n).alias("bin")) for n in levels))
 
 
 def range_join(points: DataFrame, regions: DataFrame, chrom: str = "chrom", pos: str = "pos", r_chrom: str = "chrom", r_start: str = "start", r_stop: str = "stop") -> DataFrame:
     """Every (point, region) pair with the point inside; region columns carry the prefix r_."""
     named = regions.select(*(F.col(c).alias(f"r_{c}") for c in regions.columns))
     binned = _binned_intervals(named, f"r_{r_chrom}", f"r_{r_start}", f"r_{r_stop}")
-    at = points.withColumn("__p", F.explode(_point_bins(F.col(pos).cast("long"))))
+    at = points.withColumn("__p", F.explode(_point_bins(F.col(pos).cast("long"), _levels(binned))))
     on = (
         (at[chrom].cast("string") == binned["__chrom"]) & (F.col("__p.level") == F.col("__level")) & (F.col("__p.bin") == F.col("__bin"))
         & F.col(pos).between(F.col("__from"), F.col("__to"))
@@ -75,19 +83,18 @@ def in_regions(rows: DataFrame, regions: DataFrame, how: str = "left_semi", chro
     """Rows whose position (or span start..stop) meets any region, or with left_anti none."""
     binned = _binned_intervals(regions.select("chrom", "start", "stop"), "chrom", "start", "stop")
     if stop is None:
-        keyed = rows.withColumn("__c", F.col(chrom).cast("string"))
-        parts = None
-        for level in range(LEVELS):
-            own = F.lit(0).cast("long") if level == LEVELS - 1 else F.floor(F.col(start).cast("long") / (BIN * FACTOR**level))
-            one = keyed.withColumn("__b", own)
+        rest, parts = rows.withColumn("__c", F.col(chrom).cast("string")), None
+        levels = _levels(binned)
+        for level in levels:
+            one = rest.withColumn("__b", _bin_at(F.col(start).cast("long"), level))
             r = binned.filter(F.col("__level") == level)
             on = (one["__c"] == r["__chrom"]) & (one["__b"] == r["__bin"]) & F.col(start).between(F.col("__from"), F.col("__to"))
-            keyed = one.join(r, on, "left_anti").drop("__b") if how == "left_anti" else keyed
             if how == "left_semi":
                 hit = one.join(r, on, "left_semi").drop("__b")
                 parts = hit if parts is None else parts.unionByName(hit)
-                keyed = one.join(r, on, "left_anti").drop("__b")
-        return (keyed if how == "left_anti" else parts).drop("__c")
+            if how == "left_anti" or level != levels[-1]:
+                rest = one.join(r, on, "left_anti").drop("__b")
+        return (rest if how == "left_anti" else parts).drop("__c")
     spans = rows.withColumn("__id", F.monotonically_increasing_id())
     own = _binned_intervals(spans.select("__id", F.col(chrom).alias("c"), F.col(start).alias("a"), F.col(stop).alias("b")), "c", "a", "b")
     # spans and regions meet on the finest common level: both sides are binned on every level of the other
