@@ -8,7 +8,7 @@ value gets -1 (its partition is skipped), an empty neighbourhood more.  Probes m
 equi-join, whose condition verifies the full distance, so only true links come out.
 
 Hot groups: equal fingerprints are one node.  Before probing, every stored value's bucket links its members to
-two leaders (a star, never all pairs), the links are contracted to components, and the join then yields only
+a few leaders (stars, never all pairs), the links are contracted to components, and the join then yields only
 links between different components.  Members of the largest component do not probe at all: any link that joins
 it to another component is found from the other side.
 """
@@ -16,7 +16,7 @@ it to another component is found from the other side.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +32,10 @@ BITS = 64
 HEAD = 16
 #: Cost of one probe row, in candidate comparisons.
 PROBE_COST = 30.0
+#: Leaders of a bucket in the stars that settle crowded groups before probing.
+LEADERS = 8
+#: Gives one side's column by name.
+Side = Callable[[str], Column]
 #: Shingles whose bits are counted at once, which bounds memory for very long texts.
 AT_ONCE = 1 << 16
 #: Odd multipliers that turn one shingle hash into further independent ones.
@@ -262,10 +266,12 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
     heads = [min(HEAD, w) for w in widths]
     most = [min(tau, w) for w in widths]
 
-    def near(a: str, b: str) -> Column:
-        out = distance(F.col(f"{a}.fp"), F.col(f"{b}.fp")) <= tau
+    def near(a: Side, b: Side) -> Column:
+        out = distance(a("fp"), b("fp")) <= tau
         if wide:
-            far = sum((distance(F.col(f"{a}.{w}"), F.col(f"{b}.{w}")) for w in wide[1:]), distance(F.col(f"{a}.{wide[0]}"), F.col(f"{b}.{wide[0]}")))
+            far = distance(a(wide[0]), b(wide[0]))
+            for w in wide[1:]:
+                far = far + distance(a(w), b(w))
             out = out & (far <= wide_tau)
         return out
 
@@ -282,16 +288,13 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
         counts.append(ball_counts(histogram, h, most[i]).astype(np.float32))
     shared = nodes.sparkSession.sparkContext.broadcast(counts)
 
-    # stars: every bucket links its members to two leaders
+    # stars: every bucket links its members to a few leaders, those with the least hashes
     held = nodes.withColumn("bucket", F.explode(buckets))
     me = F.struct("node", "fp", *wide)
-    leaders = held.groupBy("bucket").agg(F.min(me).alias("first"), F.max(me).alias("last"), F.count("*").alias("n")).filter("n > 1")
-    star = held.alias("x").join(leaders.alias("l"), "bucket")
-    edges = None
-    for leader in ("first", "last"):
-        own = star.select(F.struct("x.node", "x.fp", *(f"x.{w}" for w in wide)).alias("x"), F.col(f"l.{leader}").alias("y"))
-        own = own.filter((F.col("x.node") != F.col("y.node")) & near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        edges = own if edges is None else edges.unionByName(own)
+    chosen = [F.min_by(me, F.xxhash64("node", F.lit(k))) for k in range(LEADERS)]
+    leaders = held.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("leaders"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    led = F.filter("leaders", lambda y: (y["node"] != F.col("node")) & near(F.col, lambda c: y[c]))
+    edges = held.join(leaders, "bucket").select(F.col("node").alias("a"), F.explode(led).alias("y")).select("a", F.col("y.node").alias("b"))
     first = durable(components(edges))
 
     largest = first.groupBy("root").count().orderBy(F.desc("count"), "root").limit(1).collect()
@@ -324,7 +327,7 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
     asking = placed.filter(F.col("comp") != giant) if giant is not None else placed
     columns = ", ".join(f"{w} long" for w in wide)
     probes = asking.select("node", "fp", *wide, "comp").mapInPandas(probe, f"node long, fp long, {columns + ', ' if wide else ''}comp long, bucket long")
-    meets = (F.col("p.bucket") == F.col("s.bucket")) & (F.col("p.comp") != F.col("s.comp")) & near("p", "s")
+    meets = (F.col("p.bucket") == F.col("s.bucket")) & (F.col("p.comp") != F.col("s.comp")) & near(lambda c: F.col(f"p.{c}"), lambda c: F.col(f"s.{c}"))
     links = probes.alias("p").join(stored.hint("shuffle_hash").alias("s"), meets).select(F.col("p.comp").alias("a"), F.col("s.comp").alias("b")).distinct()
     second = components(links).select(F.col("node").alias("comp"), F.col("root").alias("joined"))
     return placed.join(second, "comp", "left").select("node", F.coalesce("joined", "comp").alias("root"))
