@@ -353,7 +353,7 @@ def near_duplicates(docs: DataFrame, tau: int = 4, size: int = 4, key: str = "do
 
 
 def similar_documents(
-    docs: DataFrame, size: int = 5, tau: int = 8, wide_tau: int = 46, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, size: int = 5, tau: int = 8, wide_tau: int = 48, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """key, component_id: groups of texts whose shingles of `size` words have a similarity of about 0.8 or more.
 
