@@ -119,6 +119,33 @@ def test_generalised_pigeonhole_loses_no_link(spark, parts):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_crowded_group_keeps_its_components(spark):
+    """Hundreds of fingerprints around one, a chain that hangs on it by single links, and a crowd of its own."""
+    rng = np.random.default_rng(5)
+    base, other = 0x0123456789ABCDEF, 0x7EDCBA9876543210
+    fps = {base, other}
+    for centre, n in ((base, 500), (other, 200)):
+        for _ in range(n):
+            x = centre
+            for bit in rng.choice(64, rng.integers(1, 6), replace=False):
+                x ^= 1 << int(bit)
+            fps.add(x)
+    x = base
+    for bit in range(20, 60, 4):
+        x ^= 0b1111 << bit
+        fps.add(x)
+    signed = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    nodes = spark.createDataFrame([(f, f) for f in signed], "node long, fp long")
+    got = {r.node: r.root for r in simhash.linked(nodes, 4).collect()}
+    found = defaultdict(set)
+    for f in signed:
+        found[got.get(f, f)].add(f)
+    want = defaultdict(set)
+    for f, w in zip(signed, plain_components([(f, f & ((1 << 64) - 1)) for f in signed], 4)):
+        want[w].add(f)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+
+
 def test_thresholds_fill_the_budget():
     rng = np.random.default_rng(1)
     costs = [np.vstack([np.zeros(50), np.sort(rng.random((5, 50)), axis=0)]) for _ in range(3)]
