@@ -33,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document, the one with the smallest doc_id, of each group of near-duplicate texts.
 
     Groups are linked texts whose five-word shingles have a similarity of about 0.8 or more.  Rows that share a
-    doc_id and a group count once; rows without a doc_id stay, unless a document with one has their text.
+    doc_id and a group count once; rows without a doc_id stay if some group has no other rows.
     """
     groups = simhash.similar_documents(docs.select("doc_id", "text"), size=5)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
