@@ -20,11 +20,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable, map_texts
+from varloom.llm.common import durable, empty_for_null, map_texts
 from varloom.llm.components import components
 
 BITS = 64
@@ -40,6 +41,11 @@ Side = Callable[[str], Column]
 AT_ONCE = 1 << 16
 #: Odd multipliers that turn one shingle hash into further independent ones.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
+#: Bands of five least shingle hashes: two texts of similarity s share none with probability (1 - s^5)^16, 0.2 % at 0.8.
+BANDS, BAND_ROWS = 16, 5
+LEAST = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bits of the filter that picks the texts to compare; its 16 MB are all that reaches the driver.
+FILTER_BITS = 27
 
 
 def words_of(text: str) -> list[bytes]:
@@ -99,25 +105,44 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     return map_texts(docs, (key,), text, {"fp": "long"}, work)
 
 
-def wide_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
-    """key, fp, w0..w3: fp from the distinct words, which moves little under small edits and finds candidates,
-    and 256 majority bits of the distinct shingles of `size` words, which follow shingle similarity."""
+def distinct_shingles(words: list[bytes], size: int) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(words, size)]))
 
-    def one(t: str) -> tuple[int, ...]:
+
+def band_values(shingles: np.ndarray) -> list[int]:
+    """One value for each band, from the least of the shingles' hashes under BAND_ROWS multipliers."""
+    least = np.full(len(LEAST), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), 1 << 12):
+        x = shingles[at : at + (1 << 12)] ^ (shingles[at : at + (1 << 12)] >> np.uint64(32))
+        x = x[None, :] * LEAST[:, None]
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        least = np.minimum(least, x.min(axis=1))
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return [xxhash.xxh64_intdigest(rows[i].tobytes(), i) - (1 << 63) for i in range(BANDS)]
+
+
+def wide_fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", size: int = 5) -> DataFrame:
+    """keep, fp, w0..w3, shingles, bands: fp from the distinct words, which moves little under scattered edits, 256
+    majority bits of the distinct shingles of `size` words, which follow shingle similarity, a hash of the set of
+    shingles, and the set's bands, which hold wherever in the text an edit lies.  Both find candidates."""
+
+    def one(t: str) -> tuple:
         words = words_of(t)
         if not words:
-            return (0,) * (1 + len(MIX))
+            return (*(0,) * (2 + len(MIX)), [])
         single = np.unique(np.array([xxhash.xxh64_intdigest(w, 42) for w in set(words)], dtype=np.uint64))
-        shingles = np.unique(np.concatenate(list(shingle_hashes(words, size))))
+        shingles = distinct_shingles(words, size)
         cut = [shingles[i : i + AT_ONCE] for i in range(0, len(shingles), AT_ONCE)]
-        return (majority(iter([single])), *(majority(mixed(h, m) for h in cut) for m in MIX))
+        wide = (majority(mixed(h, m) for h in cut) for m in MIX)
+        return (majority(iter([single])), *wide, xxhash.xxh64_intdigest(shingles.tobytes(), 1) - (1 << 63), band_values(shingles))
 
-    names = ("fp", *(f"w{i}" for i in range(len(MIX))))
+    names = ("fp", *(f"w{i}" for i in range(len(MIX))), "shingles")
 
     def work():
         return lambda texts: (None, list(zip(*map(one, texts))))
 
-    return map_texts(docs, (key,), text, dict.fromkeys(names, "long"), work)
+    return map_texts(docs, keep, text, dict.fromkeys(names, "long") | {"bands": "array<long>"}, work)
 
 
 # ---- partitions, thresholds and probes
@@ -252,12 +277,16 @@ def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int = 0, parts: int | None = None) -> DataFrame:
+def linked(
+    nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int = 0, parts: int | None = None, confirm: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """node, root for every node that is linked to another.
 
-    nodes: node (long, unique), fp (long) and the columns of `wide`.  A link needs at most tau differing bits
-    in fp and, if there are wide columns, at most wide_tau in all of them.
+    nodes: node (long, unique), fp (long) and the columns of `wide`.  A link needs at most tau differing bits in fp.
+    With `confirm`, nodes also has `bands`; pairs that meet by fp or in a band and differ in at most wide_tau bits
+    of the wide columns are candidates (a, b), and those that confirm returns are the links.
     """
+    banded = nodes.select("node", F.explode("bands").alias("bucket")) if confirm else None
     nodes = nodes.select("node", "fp", *wide)
     n = nodes.count()
     parts = parts or partition_count(n, tau)
@@ -266,14 +295,19 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
     heads = [min(HEAD, w) for w in widths]
     most = [min(tau, w) for w in widths]
 
+    def apart(a: Side, b: Side) -> Column:
+        return sum((distance(a(w), b(w)) for w in wide), F.lit(0))
+
     def near(a: Side, b: Side) -> Column:
-        out = distance(a("fp"), b("fp")) <= tau
-        if wide:
-            far = distance(a(wide[0]), b(wide[0]))
-            for w in wide[1:]:
-                far = far + distance(a(w), b(w))
-            out = out & (far <= wide_tau)
-        return out
+        return (apart(a, b) <= wide_tau) if confirm else (distance(a("fp"), b("fp")) <= tau)
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        """a, b and the wide bits in which they differ, of the pairs within wide_tau."""
+        x = nodes.select(F.col("node").alias("a"), *(F.col(w).alias(f"x{w}") for w in wide))
+        y = nodes.select(F.col("node").alias("b"), *(F.col(w).alias(f"y{w}") for w in wide))
+        both = pairs.join(x, "a").join(y, "b")
+        far = apart(lambda w: F.col(f"x{w}"), lambda w: F.col(f"y{w}"))
+        return both.select("a", "b", far.alias("far")).filter(F.col("far") <= wide_tau)
 
     buckets = F.array(*(F.lit(i << 60).bitwiseOR(value_column(F.col("fp"), b)) for i, b in enumerate(bits)))
 
@@ -286,7 +320,7 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
         histogram = np.zeros(1 << h)
         histogram[own["value"].to_numpy(np.int64)] = own["count"]
         counts.append(ball_counts(histogram, h, most[i]).astype(np.float32))
-    shared = nodes.sparkSession.sparkContext.broadcast(counts)
+    known_counts = nodes.sparkSession.sparkContext.broadcast(counts)
 
     # stars: every bucket links its members to a few leaders, those with the least hashes
     held = nodes.withColumn("bucket", F.explode(buckets))
@@ -295,6 +329,14 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
     leaders = held.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("leaders"), F.count("*").alias("n")).filter("n > 1").drop("n")
     led = F.filter("leaders", lambda y: (y["node"] != F.col("node")) & near(F.col, lambda c: y[c]))
     edges = held.join(leaders, "bucket").select(F.col("node").alias("a"), F.explode(led).alias("y")).select("a", F.col("y.node").alias("b"))
+    if confirm:
+        # bands that meet another node, each with a leader; every node is first compared with its nearest leader only
+        own = Window.partitionBy("bucket")
+        lead = F.min_by("node", F.xxhash64("node", "bucket")).over(own)
+        shared = durable(banded.withColumn("n", F.count("*").over(own)).withColumn("lead", lead).filter("n > 1").drop("n"))
+        led = shared.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+        nearest = measured(edges.unionByName(led).distinct()).groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
+        edges = confirm(nearest)
     first = durable(components(edges))
 
     largest = first.groupBy("root").count().orderBy(F.desc("count"), "root").limit(1).collect()
@@ -304,7 +346,7 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
     stored = placed.withColumn("bucket", F.explode(buckets))
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = known_counts.value
         names = ["node", "fp", *wide, "comp"]
         for whole in batches:
             for at in range(0, len(whole), 4096):
@@ -328,7 +370,17 @@ def linked(nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int
     columns = ", ".join(f"{w} long" for w in wide)
     probes = asking.select("node", "fp", *wide, "comp").mapInPandas(probe, f"node long, fp long, {columns + ', ' if wide else ''}comp long, bucket long")
     meets = (F.col("p.bucket") == F.col("s.bucket")) & (F.col("p.comp") != F.col("s.comp")) & near(lambda c: F.col(f"p.{c}"), lambda c: F.col(f"s.{c}"))
-    links = probes.alias("p").join(stored.hint("shuffle_hash").alias("s"), meets).select(F.col("p.comp").alias("a"), F.col("s.comp").alias("b")).distinct()
+    side = "node" if confirm else "comp"
+    links = probes.alias("p").join(stored.hint("shuffle_hash").alias("s"), meets).select(F.col(f"p.{side}").alias("a"), F.col(f"s.{side}").alias("b")).distinct()
+    if confirm:
+        comp = placed.select("node", "comp")
+        held = shared.select("node", "bucket").join(comp, "node")
+        ask = held.filter(F.col("comp") != giant) if giant is not None else held
+        meet = ask.select(F.col("node").alias("a"), F.col("comp").alias("ca"), "bucket").join(held.select(F.col("node").alias("b"), F.col("comp").alias("cb"), "bucket"), "bucket")
+        pairs = measured(links.unionByName(meet.filter("ca <> cb").select("a", "b").distinct())).drop("far")
+        found = confirm(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        found = found.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b")
+        links = found.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
     second = components(links).select(F.col("node").alias("comp"), F.col("root").alias("joined"))
     return placed.join(second, "comp", "left").select("node", F.coalesce("joined", "comp").alias("root"))
 
@@ -352,22 +404,70 @@ def near_duplicates(docs: DataFrame, tau: int = 4, size: int = 4, key: str = "do
     )
 
 
-def similar_documents(
-    docs: DataFrame, size: int = 5, tau: int = 8, wide_tau: int = 48, key: str = "doc_id", text: str = "text"
+def text_hash(text: str = "text") -> Column:
+    return F.xxhash64(empty_for_null(text))
+
+
+def similar_enough(docs: DataFrame, size: int, least: float, text: str = "text") -> Callable[[DataFrame], DataFrame]:
+    """A function that keeps the pairs (a, b) of text hashes whose texts' sets of shingles have the Jaccard
+    similarity `least` or more.  Only texts of candidates are moved: a bit filter of bounded size picks them."""
+    source = docs.select(text_hash(text).alias("hash"), empty_for_null(text).alias("text"))
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        pairs = durable(pairs)
+        bit = F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct().select(bit.alias("bit"))
+        maps = ends.groupBy(F.bitmap_bucket_number("bit").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).toPandas()
+        table = np.zeros((1 << FILTER_BITS) >> 3, np.uint8)
+        for at, bits in zip(maps["at"], maps["bits"]):
+            table[(at - 1) * 4096 : at * 4096] = np.frombuffer(bytes(bits), np.uint8)
+        wanted = pairs.sparkSession.sparkContext.broadcast(table)
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = wanted.value
+            for batch in batches:
+                bits = batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)
+                yield batch.filter(pa.array((known[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1))
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good = []
+                for one, other in zip(batch.column(2), batch.column(3)):
+                    x, y = (distinct_shingles(words_of(t.as_py()), size) for t in (one, other))
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    good.append(both >= least * (len(x) + len(y) - both))
+                yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+        texts = source.mapInArrow(pick, "hash long, text string").groupBy("hash").agg(F.first("text").alias("text"))
+        both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+        return durable(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"))
+
+    return confirm
+
+
+def similar_rows(
+    docs: DataFrame, size: int = 5, least: float = 0.8, tau: int = 8, wide_tau: int = 72, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """key, component_id: groups of texts whose shingles of `size` words have a similarity of about 0.8 or more.
+    """key, hash (of the text), group for every row: texts are linked if their sets of shingles of `size` words have
+    the Jaccard similarity `least` or more.
 
-    Two texts with Jaccard similarity s differ in a share acos(2s / (1 + s)) / pi of the 256 wide bits: 39 at
-    0.8, with a standard deviation under 6, against 128 +- 8 for unrelated texts.  Candidates come from the
-    64-bit fingerprint of distinct words, which small edits hardly move.
+    Candidates come from the 64-bit fingerprint of distinct words and from bands of least hashes.  Two texts with
+    similarity s differ in a share acos(2s / (1 + s)) / pi of the 256 wide bits: 39 +- 6 at 0.8 (48 +- 6 if they
+    have five shingles), against 128 +- 8 for unrelated texts, so that candidates beyond 72 need no comparison.
     """
     wide = tuple(f"w{i}" for i in range(len(MIX)))
-    rows = durable(wide_fingerprints(docs, key, text, size).withColumnRenamed(key, "key"))
-    distinct = rows.groupBy("fp", *wide).agg(F.min("key").alias("least"))
-    # a node needs an id of its own even if its rows have no key
-    distinct = durable(distinct.withColumn("node", F.xxhash64("fp", *wide)))
-    roots = linked(distinct, tau, wide, wide_tau)
-    classes = durable(distinct.join(roots, "node", "left").select("fp", *wide, "least", F.coalesce("root", "node").alias("root")))
-    named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = classes.join(named, "root").select("fp", *wide, "component_id")
-    return rows.join(by_fp, ["fp", *wide]).select(F.col("key").alias(key), "component_id")
+    hashed = docs.select(F.col(key).alias("key"), text_hash(text).alias("hash"), F.col(text).alias("text"))
+    rows = durable(wide_fingerprints(hashed, ("key", "hash"), "text", size))
+    firsts = (F.first(c).alias(c) for c in ("fp", *wide, "bands"))
+    # a node is a set of shingles, named by one of its texts
+    distinct = durable(rows.groupBy("shingles").agg(F.min("hash").alias("node"), *firsts))
+    roots = linked(distinct, tau, wide, wide_tau, confirm=similar_enough(docs, size, least, text))
+    classes = distinct.select("shingles", "node").join(roots, "node", "left").select("shingles", F.coalesce("root", "node").alias("group"))
+    return rows.select("key", "hash", "shingles").join(classes, "shingles").select(F.col("key").alias(key), "hash", "group")
+
+
+def similar_documents(docs: DataFrame, size: int = 5, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, component_id: the groups of similar_rows, named by their smallest key."""
+    rows = durable(similar_rows(docs, size, least, key=key, text=text))
+    named = rows.groupBy("group").agg(F.min(key).alias("component_id"))
+    return rows.join(named, "group").select(key, "component_id")
