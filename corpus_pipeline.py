@@ -30,16 +30,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group of near-duplicate texts.
+    """One row of each group of near-duplicate texts: the least by doc_id (nulls last), then by a hash of the text.
 
-    Groups are linked texts whose five-word shingles have a similarity of about 0.8 or more.  Rows that share a
-    doc_id and a group count once; rows without a doc_id stay if some group has no other rows.
+    Groups are texts linked by a similarity of 0.8 or more of their five-word shingles.  A row belongs to its text's
+    group, whatever other rows have its doc_id; rows that share doc_id and text are settled by their other columns.
     """
-    groups = simhash.similar_documents(docs.select("doc_id", "text"), size=5)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"])).drop("__kept")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return rows.withColumn("__first", first).filter("__first = 1 or doc_id is null").drop("__first")
+    groups = simhash.similar_rows(docs.select("doc_id", "text"), size=5)
+    ranked = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("x")
+    kept = groups.groupBy("group").agg(ranked).select(F.xxhash64("x.hash", "x.none", "x.doc_id").alias("__row"))
+    row = F.xxhash64(simhash.text_hash("text"), F.col("doc_id").isNull(), "doc_id")
+    rows = docs.withColumn("__row", row).join(kept, "__row")
+    first = F.row_number().over(Window.partitionBy("__row").orderBy(F.xxhash64(*docs.columns)))
+    return rows.withColumn("__first", first).filter("__first = 1").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
