@@ -35,9 +35,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),  # runs of [0-9a-f]+ with 32 or more characters
 )
+# A key block: header fields, then all up to the END line, or without one the lines of base64.  Quantifiers over
+# groups are possessive, as others recurse for each line.
+_GAP = r"""(?:\\[nr]|[\x20\t\r\n"'>|])*+"""
+_FIELDS = rf"(?:{_GAP}[A-Z][A-Za-z]{{1,30}}-[A-Za-z]{{1,30}}:[^\r\n\\]{{0,200}})*+"
+_LAST = rf"(?:{_GAP}[A-Za-z0-9+/]{{1,15}}(?:={{1,2}}|(?=[\r\n\\\"'])|(?![\s\S])))?+"
+_BASE64 = rf"(?:{_GAP}[A-Za-z0-9+/]{{16,}}={{0,2}})++{_LAST}"
+_KEY = rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----{_FIELDS}(?:[^-]*+-----END [A-Z ]{{0,40}}PRIVATE KEY-----|{_BASE64})?+"
 # Rules that the scan adds to the base ones.
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    Rule("private_key", _KEY, 0, 1, version=2),
     Rule("forge_token", r"\bgh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
     Rule("web_token", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 32),
 )
