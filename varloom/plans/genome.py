@@ -490,7 +490,7 @@ def _(v):
 
 @query("kinship_drop")
 def _(v):
-    return graphs.kinship_drop(v.genotypes, v.variants, v.pairs, 0.25, 2000, 0.2)[1]
+    return graphs.kinship_drop(v.genotypes, v.variants, 0.25, 0.2, 2000, 0.2)[1]
 
 
 @query("pca")
