@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.llm.common import durable, empty_for_null, map_texts
@@ -35,6 +36,10 @@ HEAD = 16
 PROBE_COST = 30.0
 #: Leaders of a bucket in the stars that settle crowded groups before probing.
 LEADERS = 8
+#: Rounds in which every text meets its nearest leader of another component, before candidates are listed.
+LEADER_ROUNDS = 2
+#: Members of a band's bucket beyond which the bucket's pairs are compared inside the join, by their sets.
+CROWD = 64
 #: Gives one side's column by name.
 Side = Callable[[str], Column]
 #: Shingles whose bits are counted at once, which bounds memory for very long texts.
@@ -46,6 +51,8 @@ BANDS, BAND_ROWS = 16, 5
 LEAST = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Bits of the filter that picks the texts to compare; its 16 MB are all that reaches the driver.
 FILTER_BITS = 27
+#: Shingle hashes that a task keeps while it compares pairs.
+KEPT_SHINGLES = 2_000_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -277,112 +284,174 @@ def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def linked(
-    nodes: DataFrame, tau: int, wide: tuple[str, ...] = (), wide_tau: int = 0, parts: int | None = None, confirm: Callable[[DataFrame], DataFrame] | None = None
-) -> DataFrame:
-    """node, root for every node that is linked to another.
-
-    nodes: node (long, unique), fp (long) and the columns of `wide`.  A link needs at most tau differing bits in fp.
-    With `confirm`, nodes also has `bands`; pairs that meet by fp or in a band and differ in at most wide_tau bits
-    of the wide columns are candidates (a, b), and those that confirm returns are the links.
-    """
-    banded = nodes.select("node", F.explode("bands").alias("bucket")) if confirm else None
-    nodes = nodes.select("node", "fp", *wide)
-    n = nodes.count()
-    parts = parts or partition_count(n, tau)
-    bits = grouped_bits(bit_correlations(nodes), parts)
-    widths = [len(b) for b in bits]
-    heads = [min(HEAD, w) for w in widths]
-    most = [min(tau, w) for w in widths]
-
-    def apart(a: Side, b: Side) -> Column:
-        return sum((distance(a(w), b(w)) for w in wide), F.lit(0))
-
-    def near(a: Side, b: Side) -> Column:
-        return (apart(a, b) <= wide_tau) if confirm else (distance(a("fp"), b("fp")) <= tau)
-
-    def measured(pairs: DataFrame) -> DataFrame:
-        """a, b and the wide bits in which they differ, of the pairs within wide_tau."""
-        x = nodes.select(F.col("node").alias("a"), *(F.col(w).alias(f"x{w}") for w in wide))
-        y = nodes.select(F.col("node").alias("b"), *(F.col(w).alias(f"y{w}") for w in wide))
-        both = pairs.join(x, "a").join(y, "b")
-        far = apart(lambda w: F.col(f"x{w}"), lambda w: F.col(f"y{w}"))
-        return both.select("a", "b", far.alias("far")).filter(F.col("far") <= wide_tau)
-
-    buckets = F.array(*(F.lit(i << 60).bitwiseOR(value_column(F.col("fp"), b)) for i, b in enumerate(bits)))
-
-    # bounded histograms: at most parts x 65536 rows reach the driver
-    head = F.explode(F.array(*(F.struct(F.lit(i).alias("part"), value_column(F.col("fp"), b[:h]).alias("value")) for i, (b, h) in enumerate(zip(bits, heads)))))
-    counted = nodes.select(head.alias("x")).groupBy("x.part", "x.value").count().toPandas()
-    counts = []
-    for i, h in enumerate(heads):
-        own = counted[counted["part"] == i]
-        histogram = np.zeros(1 << h)
-        histogram[own["value"].to_numpy(np.int64)] = own["count"]
-        counts.append(ball_counts(histogram, h, most[i]).astype(np.float32))
-    known_counts = nodes.sparkSession.sparkContext.broadcast(counts)
-
+class Pigeonhole:
+    """Partitions of the bits, thresholds and probes for the fingerprints of nodes (node, fp)."""
+
+    def __init__(self, nodes: DataFrame, tau: int, parts: int | None = None):
+        self.tau = tau
+        self.parts = parts = parts or partition_count(nodes.count(), tau)
+        self.bits = bits = grouped_bits(bit_correlations(nodes), parts)
+        self.widths = [len(b) for b in bits]
+        self.heads = [min(HEAD, w) for w in self.widths]
+        self.most = [min(tau, w) for w in self.widths]
+        self.buckets = F.array(*(F.lit(i << 60).bitwiseOR(value_column(F.col("fp"), b)) for i, b in enumerate(bits)))
+        # bounded histograms: at most parts x 65536 rows reach the driver
+        head = F.explode(F.array(*(F.struct(F.lit(i).alias("part"), value_column(F.col("fp"), b[:h]).alias("value")) for i, (b, h) in enumerate(zip(bits, self.heads)))))
+        counted = nodes.select(head.alias("x")).groupBy("x.part", "x.value").count().toPandas()
+        counts = []
+        for i, h in enumerate(self.heads):
+            own = counted[counted["part"] == i]
+            histogram = np.zeros(1 << h)
+            histogram[own["value"].to_numpy(np.int64)] = own["count"]
+            counts.append(ball_counts(histogram, h, self.most[i]).astype(np.float32))
+        self.counts = nodes.sparkSession.sparkContext.broadcast(counts)
+
+    def stored(self, nodes: DataFrame) -> DataFrame:
+        return nodes.withColumn("bucket", F.explode(self.buckets))
+
+    def probes(self, nodes: DataFrame) -> DataFrame:
+        """nodes (all long, with fp) and a bucket to ask, for each value within the node's thresholds."""
+        counts, tau, parts, bits, widths, heads, most = self.counts, self.tau, self.parts, self.bits, self.widths, self.heads, self.most
+
+        def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = counts.value
+            for whole in batches:
+                for at in range(0, len(whole), 4096):
+                    batch = whole.iloc[at : at + 4096]
+                    x = unpacked(batch["fp"].to_numpy())
+                    costs = [threshold_costs(known[i], values(x, bits[i][: heads[i]]), widths[i], most[i]) for i in range(parts)]
+                    thresholds = allocate(costs, tau)
+                    for i in range(parts):
+                        own = values(x, bits[i])
+                        for t in range(most[i] + 1):
+                            rows = np.flatnonzero(thresholds[:, i] == t)
+                            if len(rows):
+                                around = masks(widths[i], t)
+                                for cut in range(0, len(rows), max(1, 500_000 // len(around))):
+                                    some = rows[cut : cut + max(1, 500_000 // len(around))]
+                                    bucket = (own[some][:, None] ^ around[None, :]) | (i << 60)
+                                    yield batch.iloc[np.repeat(some, len(around))].assign(bucket=bucket.ravel())
+
+        return nodes.mapInPandas(probe, ", ".join(f"{c} long" for c in (*nodes.columns, "bucket")))
+
+
+def largest(placed: DataFrame) -> Column:
+    """Whether a row is in the largest component, whose members need not ask: the other side finds the link."""
+    top = placed.groupBy("comp").count().filter("count > 1").orderBy(F.desc("count"), "comp").limit(1).collect()
+    return (F.col("comp") == top[0]["comp"]) if top else F.lit(False)
+
+
+def joined(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """placed with its components joined by links (a, b) between them."""
+    named = components(links).select(F.col("node").alias("comp"), F.col("root").alias("__root"))
+    out = placed.join(named, "comp", "left").withColumn("comp", F.coalesce("__root", "comp"))
+    return out.select(*placed.columns)
+
+
+def linked(nodes: DataFrame, tau: int, parts: int | None = None) -> DataFrame:
+    """node, root for every node (node, unique, and fp); a link is at most tau differing bits."""
+    hole = Pigeonhole(nodes, tau, parts)
     # stars: every bucket links its members to a few leaders, those with the least hashes
-    held = nodes.withColumn("bucket", F.explode(buckets))
-    me = F.struct("node", "fp", *wide)
-    chosen = [F.min_by(me, F.xxhash64("node", F.lit(k))) for k in range(LEADERS)]
+    held = hole.stored(nodes)
+    chosen = [F.min_by(F.struct("node", "fp"), F.xxhash64("node", F.lit(k))) for k in range(LEADERS)]
     leaders = held.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("leaders"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    led = F.filter("leaders", lambda y: (y["node"] != F.col("node")) & near(F.col, lambda c: y[c]))
+    led = F.filter("leaders", lambda y: (y["node"] != F.col("node")) & (distance(y["fp"], F.col("fp")) <= tau))
     edges = held.join(leaders, "bucket").select(F.col("node").alias("a"), F.explode(led).alias("y")).select("a", F.col("y.node").alias("b"))
-    if confirm:
-        # bands that meet another node, each with a leader; every node is first compared with its nearest leader only
-        own = Window.partitionBy("bucket")
-        lead = F.min_by("node", F.xxhash64("node", "bucket")).over(own)
-        shared = durable(banded.withColumn("n", F.count("*").over(own)).withColumn("lead", lead).filter("n > 1").drop("n"))
-        led = shared.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-        nearest = measured(edges.unionByName(led).distinct()).groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
-        edges = confirm(nearest)
-    first = durable(components(edges))
-
-    largest = first.groupBy("root").count().orderBy(F.desc("count"), "root").limit(1).collect()
-    giant = largest[0]["root"] if largest else None
-    placed = nodes.join(first, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-    placed = durable(placed)
-    stored = placed.withColumn("bucket", F.explode(buckets))
-
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = known_counts.value
-        names = ["node", "fp", *wide, "comp"]
-        for whole in batches:
-            for at in range(0, len(whole), 4096):
-                batch = whole.iloc[at : at + 4096]
-                x = unpacked(batch["fp"].to_numpy())
-                costs = [threshold_costs(known[i], values(x, bits[i][: heads[i]]), widths[i], most[i]) for i in range(parts)]
-                thresholds = allocate(costs, tau)
-                for i in range(parts):
-                    own = values(x, bits[i])
-                    for t in range(most[i] + 1):
-                        rows = np.flatnonzero(thresholds[:, i] == t)
-                        if len(rows):
-                            around = masks(widths[i], t)
-                            for cut in range(0, len(rows), max(1, 500_000 // len(around))):
-                                some = rows[cut : cut + max(1, 500_000 // len(around))]
-                                bucket = (own[some][:, None] ^ around[None, :]) | (i << 60)
-                                out = batch[names].iloc[np.repeat(some, len(around))]
-                                yield out.assign(bucket=bucket.ravel())
-
-    asking = placed.filter(F.col("comp") != giant) if giant is not None else placed
-    columns = ", ".join(f"{w} long" for w in wide)
-    probes = asking.select("node", "fp", *wide, "comp").mapInPandas(probe, f"node long, fp long, {columns + ', ' if wide else ''}comp long, bucket long")
-    meets = (F.col("p.bucket") == F.col("s.bucket")) & (F.col("p.comp") != F.col("s.comp")) & near(lambda c: F.col(f"p.{c}"), lambda c: F.col(f"s.{c}"))
-    side = "node" if confirm else "comp"
-    links = probes.alias("p").join(stored.hint("shuffle_hash").alias("s"), meets).select(F.col(f"p.{side}").alias("a"), F.col(f"s.{side}").alias("b")).distinct()
-    if confirm:
+    placed = durable(joined(nodes.withColumn("comp", F.col("node")), edges))
+    probes = hole.probes(placed.filter(~largest(placed)))
+    meets = (F.col("p.bucket") == F.col("s.bucket")) & (F.col("p.comp") != F.col("s.comp")) & (distance(F.col("p.fp"), F.col("s.fp")) <= tau)
+    links = probes.alias("p").join(hole.stored(placed).hint("shuffle_hash").alias("s"), meets).select(F.col("p.comp").alias("a"), F.col("s.comp").alias("b")).distinct()
+    return joined(placed, links).select("node", F.col("comp").alias("root"))
+
+
+# ---- groups of similar sets
+
+
+def short_bands() -> list[Column]:
+    """The bands' values, shortened to 15 bits, four to a long."""
+    lane = lambda i: F.coalesce(F.get("bands", F.lit(i)), F.lit(0)).bitwiseAND(F.lit(0x7FFF).cast("long"))
+    return [reduce(Column.bitwiseOR, (F.shiftleft(lane(4 * j + k), 15 * k) for k in range(4))).alias(f"s{j}") for j in range(BANDS // 4)]
+
+
+def in_one_band(a: Side, b: Side) -> Column:
+    """Whether two texts have a short band in common: a lane of zeros in the exclusive or."""
+    ones, tops = sum(1 << 15 * k for k in range(4)), sum(1 << 15 * k + 14 for k in range(4))
+
+    def lane(j: int) -> Column:
+        x = a(f"s{j}").bitwiseXOR(b(f"s{j}"))
+        return (x - F.lit(ones)).bitwiseAND(F.bitwise_not(x)).bitwiseAND(F.lit(tops)) != 0
+
+    return reduce(Column.__or__, (lane(j) for j in range(BANDS // 4)))
+
+
+def apart(a: Side, b: Side) -> Column:
+    """Differing bits of the wide fingerprints."""
+    return sum((distance(a(f"w{i}"), b(f"w{i}")) for i in range(len(MIX))), F.lit(0))
+
+
+def linked_sets(nodes: DataFrame, tau: int, far: int, far_alone: int, texts: Texts) -> DataFrame:
+    """node, root for every node (node, fp, w0.., bands): links are pairs that `texts` confirms.
+
+    Candidates meet in a bucket of the fingerprint (tau) or in a band, and differ in at most `far` of the wide bits;
+    those that meet in no band, a small share of true links, in at most `far_alone`.  Rounds of leaders join what
+    belongs together first, so that only pairs across components are left to compare: those of crowded bands by
+    their sets inside the join, which lists true links only, the others as rows.
+    """
+    wide = [f"w{i}" for i in range(len(MIX))]
+    short = [f"s{j}" for j in range(BANDS // 4)]
+    hole = Pigeonhole(nodes.select("node", "fp"), tau)
+    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = durable(banded.join(sizes, "bucket"))
+    placed = nodes.select("node", "fp", *wide, *short_bands(), F.col("node").alias("comp"))
+
+    def of(members: DataFrame) -> DataFrame:
+        return members.join(placed.select("node", "comp", *wide), "node")
+
+    def nearest(k: int) -> DataFrame:
+        """a, b: every node and the nearest leader, of its buckets' leaders from other components."""
+        columns = ["bucket", "node", "comp", *wide]
+        members = of(shared).select(columns).unionByName(hole.stored(placed).select(columns))
+        me = F.struct("node", "comp", *wide)
+        chosen = [F.min_by(me, F.xxhash64("node", F.lit(LEADERS * k + i))) for i in range(LEADERS)]
+        leaders = members.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("leaders"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        leaders = leaders.filter("low < high").drop("low", "high")
+        met = F.transform(F.filter("leaders", lambda y: y["comp"] != F.col("comp")), lambda y: F.struct(apart(F.col, lambda c: y[c]).alias("far"), y["node"].alias("b")))
+        rows = members.join(leaders, "bucket").select(F.col("node").alias("a"), F.array_min(met).alias("y")).filter(F.col("y.far") <= far)
+        return rows.groupBy("a").agg(F.min("y").alias("y")).select("a", F.col("y.b").alias("b"))
+
+    def between(found: DataFrame) -> DataFrame:
+        """Links of nodes as links of their components."""
         comp = placed.select("node", "comp")
-        held = shared.select("node", "bucket").join(comp, "node")
-        ask = held.filter(F.col("comp") != giant) if giant is not None else held
-        meet = ask.select(F.col("node").alias("a"), F.col("comp").alias("ca"), "bucket").join(held.select(F.col("node").alias("b"), F.col("comp").alias("cb"), "bucket"), "bucket")
-        pairs = measured(links.unionByName(meet.filter("ca <> cb").select("a", "b").distinct())).drop("far")
-        found = confirm(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        found = found.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b")
-        links = found.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-    second = components(links).select(F.col("node").alias("comp"), F.col("root").alias("joined"))
-    return placed.join(second, "comp", "left").select("node", F.coalesce("joined", "comp").alias("root"))
+        both = found.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b")
+        return both.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+    for k in range(LEADER_ROUNDS):
+        placed = durable(joined(placed, between(texts.confirmed(nearest(k)))))
+
+    asks = ~largest(placed)
+    p, s = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"s.{c}"))
+    pair = [F.least(p("node"), s("node")).alias("a"), F.greatest(p("node"), s("node")).alias("b")]
+    # probes are many, so they carry no more than the join needs
+    slim = placed.select("node", "fp", "comp")
+    meets = (p("bucket") == s("bucket")) & (p("comp") != s("comp")) & (distance(p("fp"), s("fp")) <= tau)
+    met = hole.probes(slim.filter(asks)).alias("p").join(hole.stored(slim).hint("shuffle_hash").alias("s"), meets).select(*pair).distinct()
+    ends = placed.select("node", *wide, *short)
+    both = met.join(ends.alias("p"), F.col("a") == p("node")).join(ends.alias("s"), F.col("b") == s("node"))
+    alone = both.filter((apart(p, s) <= far_alone) & ~in_one_band(p, s)).select("a", "b")
+    # every pair of components once, from the side that asks
+    first = (p("comp") != s("comp")) & (~s("asks") | (p("comp") < s("comp")))
+    held = of(shared).withColumn("asks", asks)
+    mixed = held.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("bucket")
+    held = durable(held.join(mixed, "bucket"))
+    few, crowds = held.filter(F.col("n") <= CROWD), held.filter(F.col("n") > CROWD)
+    near = (p("bucket") == s("bucket")) & first & (apart(p, s) <= far)
+    together = few.filter("asks").alias("p").join(few.alias("s"), near)
+    rows = alone.unionByName(together.select(*pair)).distinct()
+    sets = crowds.join(texts.sets(crowds.select("node").distinct()), "node")
+    alike = sets.filter("asks").alias("p").join(sets.alias("s"), near & texts.alike(p("shingles"), s("shingles")))
+    links = between(texts.confirmed(rows)).unionByName(alike.select(p("comp").alias("a"), s("comp").alias("b")))
+    return joined(placed, links.distinct()).select("node", F.col("comp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, tau: int = 4, size: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -396,7 +465,7 @@ def near_duplicates(docs: DataFrame, tau: int = 4, size: int = 4, key: str = "do
     rows = durable(fingerprints(docs, key, text, size).withColumnRenamed(key, "key"))
     distinct = durable(rows.groupBy("fp").agg(F.min("key").alias("least")))
     roots = linked(distinct.select(F.col("fp").alias("node"), "fp"), tau).withColumnRenamed("node", "fp")
-    classes = durable(distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    classes = durable(distinct.join(roots, "fp"))
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = classes.join(named, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
@@ -408,20 +477,22 @@ def text_hash(text: str = "text") -> Column:
     return F.xxhash64(empty_for_null(text))
 
 
-def similar_enough(docs: DataFrame, size: int, least: float, text: str = "text") -> Callable[[DataFrame], DataFrame]:
-    """A function that keeps the pairs (a, b) of text hashes whose texts' sets of shingles have the Jaccard
-    similarity `least` or more.  Only texts of candidates are moved: a bit filter of bounded size picks them."""
-    source = docs.select(text_hash(text).alias("hash"), empty_for_null(text).alias("text"))
+class Texts:
+    """The texts behind nodes, which are named by the hashes of their texts; only texts that are asked for move."""
+
+    def __init__(self, docs: DataFrame, size: int, least: float, text: str = "text"):
+        self.source = docs.select(text_hash(text).alias("node"), empty_for_null(text).alias("text"))
+        self.size, self.least = size, least
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        pairs = durable(pairs)
-        bit = F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct().select(bit.alias("bit"))
+    def of(self, nodes: DataFrame) -> DataFrame:
+        """node, text: once for each of nodes.  A bit filter of bounded size picks them before the shuffle."""
+        bit = F.col("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+        ends = nodes.select(bit.alias("bit"))
         maps = ends.groupBy(F.bitmap_bucket_number("bit").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).toPandas()
         table = np.zeros((1 << FILTER_BITS) >> 3, np.uint8)
         for at, bits in zip(maps["at"], maps["bits"]):
             table[(at - 1) * 4096 : at * 4096] = np.frombuffer(bytes(bits), np.uint8)
-        wanted = pairs.sparkSession.sparkContext.broadcast(table)
+        wanted = nodes.sparkSession.sparkContext.broadcast(table)
 
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = wanted.value
@@ -429,31 +500,59 @@ def similar_enough(docs: DataFrame, size: int, least: float, text: str = "text")
                 bits = batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1)
                 yield batch.filter(pa.array((known[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1))
 
+        return self.source.mapInArrow(pick, "node long, text string").groupBy("node").agg(F.first("text").alias("text"))
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets of shingles have the Jaccard similarity `least` or more."""
+        pairs, size, least = durable(pairs), self.size, self.least
+
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: dict[int, np.ndarray] = {}
+            held = 0
             for batch in batches:
                 good = []
-                for one, other in zip(batch.column(2), batch.column(3)):
-                    x, y = (distinct_shingles(words_of(t.as_py()), size) for t in (one, other))
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    good.append(both >= least * (len(x) + len(y) - both))
+                for ends in zip(*(batch.column(i) for i in range(4))):
+                    sets = []
+                    for node, text in zip(ends[:2], ends[2:]):
+                        own = known.get(node.as_py())
+                        if own is None:
+                            own = distinct_shingles(words_of(text.as_py()), size)
+                            held += len(own)
+                            if held > KEPT_SHINGLES:
+                                known, held = {}, len(own)
+                            known[node.as_py()] = own
+                        sets.append(own)
+                    both = len(np.intersect1d(*sets, assume_unique=True))
+                    good.append(both >= least * (len(sets[0]) + len(sets[1]) - both))
                 yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-        texts = source.mapInArrow(pick, "hash long, text string").groupBy("hash").agg(F.first("text").alias("text"))
+        texts = self.of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
         return durable(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"))
 
-    return confirm
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """node, shingles: the hashes of a text's distinct shingles."""
+        nodes, size = durable(nodes), self.size
+
+        def work():
+            return lambda texts: (None, [[distinct_shingles(words_of(t), size).view(np.int64) for t in texts]])
+
+        return map_texts(self.of(nodes).join(nodes, "node", "left_semi"), ("node",), "text", {"shingles": "array<long>"}, work)
+
+    def alike(self, a: Column, b: Column) -> Column:
+        both = F.size(F.array_intersect(a, b))
+        return both >= F.lit(self.least) * (F.size(a) + F.size(b) - both)
 
 
-def similar_rows(
-    docs: DataFrame, size: int = 5, least: float = 0.8, tau: int = 8, wide_tau: int = 72, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+def similar_rows(docs: DataFrame, size: int = 5, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, hash (of the text), group for every row: texts are linked if their sets of shingles of `size` words have
     the Jaccard similarity `least` or more.
 
     Candidates come from the 64-bit fingerprint of distinct words and from bands of least hashes.  Two texts with
     similarity s differ in a share acos(2s / (1 + s)) / pi of the 256 wide bits: 39 +- 6 at 0.8 (48 +- 6 if they
-    have five shingles), against 128 +- 8 for unrelated texts, so that candidates beyond 72 need no comparison.
+    have five shingles), against 128 +- 8 for unrelated texts, so that candidates beyond 72 need no comparison, nor
+    those beyond 60 that share no band.  Null texts count as empty and form one group with other texts without words;
+    null and repeated keys keep a row each; other columns are ignored; an empty table gives an empty result.
     """
     wide = tuple(f"w{i}" for i in range(len(MIX)))
     hashed = docs.select(F.col(key).alias("key"), text_hash(text).alias("hash"), F.col(text).alias("text"))
@@ -461,8 +560,8 @@ def similar_rows(
     firsts = (F.first(c).alias(c) for c in ("fp", *wide, "bands"))
     # a node is a set of shingles, named by one of its texts
     distinct = durable(rows.groupBy("shingles").agg(F.min("hash").alias("node"), *firsts))
-    roots = linked(distinct, tau, wide, wide_tau, confirm=similar_enough(docs, size, least, text))
-    classes = distinct.select("shingles", "node").join(roots, "node", "left").select("shingles", F.coalesce("root", "node").alias("group"))
+    roots = linked_sets(distinct, tau=8, far=72, far_alone=60, texts=Texts(docs, size, least, text))
+    classes = distinct.select("shingles", "node").join(roots, "node").select("shingles", F.col("root").alias("group"))
     return rows.select("key", "hash", "shingles").join(classes, "shingles").select(F.col("key").alias(key), "hash", "group")
 
 
