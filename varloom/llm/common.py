@@ -43,7 +43,7 @@ def word_count(text: Column) -> Column:
 
 
 #: Characters of text that a Python task works on at once (one document at least); bounds its memory.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 Made = tuple[np.ndarray | None, list]
 

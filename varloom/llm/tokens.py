@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from varloom.llm.common import empty_for_null, map_texts
 
 #: A task's dictionaries forget what was not used among this many last entries; that bounds their memory.
-DICTIONARY_ENTRIES = 400_000
+DICTIONARY_ENTRIES = 150_000
 #: Longer runs (in bytes) are tokenised but not kept.
 LONGEST_KEPT = 64
 LATIN = "a-z\u00e0-\u00f6\u00f8-\u00ff"

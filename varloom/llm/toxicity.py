@@ -28,7 +28,7 @@ FEATURES = 1024
 LEAST_G, LEAST_DOCS = 15.0, 3
 PREFIXES = range(4, 9)
 WORDS = re.compile(r"\w+")
-CACHE = 300_000
+CACHE = 100_000
 #: Words of the text for which the two columns of a feature are about equal.
 TYPICAL_WORDS = 300
 
