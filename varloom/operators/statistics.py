@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from varloom.operators.durable import durable
 from varloom.operators.intervals import position_rank
 
 
@@ -29,6 +30,32 @@ def normal_p(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)) if v == v else math.nan)
 
 
+def beta_tail(x: float, a: float, b: float) -> float:
+    """The regularised incomplete beta function, by its continued fraction (Lentz)."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - beta_tail(1 - x, b, a)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny = 1e-300
+    d = 1 / max(tiny, 1 - (a + b) * x / (a + 1))
+    c, f = 1.0, d
+    for m in range(1, 400):
+        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / ((1 + top * d) or tiny)
+            c = (1 + top / c) or tiny
+            f *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return front * f
+
+
+@F.pandas_udf(T.DoubleType())
+def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
+    """Two-sided p of Student's t."""
+    return pd.Series([beta_tail(n / (n + v * v), n / 2, 0.5) if v == v and n > 0 else None for v, n in zip(t, df)], dtype=float)
+
+
 @F.pandas_udf(T.DoubleType())
 def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     """Two-sided Fisher test of 2 x 2 tables: the probability of all tables no more likely than the one seen."""
@@ -46,7 +73,7 @@ def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Serie
 
 
 def assoc_allelic(genotypes: DataFrame, status: DataFrame) -> DataFrame:
-    """Allele counts of cases (2) and controls (1), chi-square and odds ratio of every marker."""
+    """Allele counts of cases (2) and controls (1), chi-square, odds ratio and p of every marker."""
     rows = genotypes.filter("dosage is not null").join(status.filter("case_status in (1, 2)").select("sample_id", "case_status"), "sample_id")
     case = F.col("case_status") == 2
 
@@ -57,15 +84,17 @@ def assoc_allelic(genotypes: DataFrame, status: DataFrame) -> DataFrame:
     a, b, cc, d = (F.col(n).cast("double") for n in "abcd")
     n = a + b + cc + d
     bottom = (a + b) * (cc + d) * (a + cc) * (b + d)
-    return c.withColumn("chisq", F.when(bottom > 0, n * (a * d - b * cc) * (a * d - b * cc) / bottom)).withColumn("odds_ratio", F.when(b * cc > 0, a * d / (b * cc)))
+    out = c.withColumn("chisq", F.when(bottom > 0, n * (a * d - b * cc) * (a * d - b * cc) / bottom)).withColumn("odds_ratio", F.when(b * cc > 0, a * d / (b * cc)))
+    return out.withColumn("p", F.when(F.col("chisq").isNotNull(), chisq1_p("chisq")))
 
 
 def assoc_linear(genotypes: DataFrame, samples: DataFrame, trait: str) -> DataFrame:
-    """Least squares of the trait on dosage: n, slope, r2 and the t statistic."""
+    """Least squares of the trait on dosage: n, slope, r2, the t statistic and its p."""
     rows = genotypes.filter("dosage is not null").join(samples.select("sample_id", F.col(trait).cast("double").alias("y")).filter("y is not null"), "sample_id")
     out = rows.groupBy("variant_id").agg(F.count("*").alias("n"), F.regr_slope("y", "dosage").alias("beta"), F.regr_r2("y", "dosage").alias("r2"))
     t = F.when((F.col("n") > 2) & (F.col("r2") < 1), F.signum("beta") * F.sqrt(F.col("r2") * (F.col("n") - 2) / (1 - F.col("r2"))))
-    return out.withColumn("t", t)
+    out = out.withColumn("t", t)
+    return out.withColumn("p", F.when(F.col("t").isNotNull(), student_p("t", (F.col("n") - 2).cast("double"))))
 
 
 def gram(rows: DataFrame, by: list[str], columns: list[str], y: str) -> DataFrame:
@@ -100,8 +129,9 @@ def solve_gram(table: DataFrame, by: list[str], size: int, at: int) -> DataFrame
 
 def assoc_linear_adjusted(genotypes: DataFrame, samples: DataFrame, trait: str, covariates: list[str]) -> DataFrame:
     rows = genotypes.filter("dosage is not null").join(samples.select("sample_id", F.col(trait).cast("double").alias("y"), *covariates).dropna(), "sample_id")
-    table = gram(rows, ["variant_id"], ["dosage", *covariates], "y")
-    return solve_gram(table, ["variant_id"], 2 + len(covariates), 1)
+    size = 2 + len(covariates)
+    out = solve_gram(gram(rows, ["variant_id"], ["dosage", *covariates], "y"), ["variant_id"], size, 1)
+    return out.withColumn("p", F.when(F.col("se") > 0, student_p(F.col("beta") / F.col("se"), (F.col("n") - size).cast("double"))))
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, firth: bool, rounds: int = 25) -> tuple[np.ndarray, np.ndarray] | None:
@@ -127,7 +157,7 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, firth: bool, round
 
 
 def assoc_logistic(genotypes: DataFrame, samples: DataFrame, covariates: list[str] = (), firth: bool = False, by: tuple[str, ...] = ("variant_id",), x: str = "dosage") -> DataFrame:
-    """by, n, beta, se of the tested column in a logistic model of case status (2 against 1).
+    """by, n, beta, se, p (Wald) of the tested column in a logistic model of case status (2 against 1).
 
     Rows are first counted by (predictor, covariates, status), so each model's group is its distinct patterns.
     """
@@ -145,7 +175,8 @@ def assoc_logistic(genotypes: DataFrame, samples: DataFrame, covariates: list[st
         beta, se = (float(fit[0][1]), float(fit[1][1])) if fit is not None else (None, None)
         return pd.DataFrame([(*(group[c].iloc[0] for c in by), int(w.sum()), beta, se)], columns=[*by, "n", "beta", "se"])
 
-    return patterns.groupBy(*by).applyInPandas(one, schema)
+    out = patterns.groupBy(*by).applyInPandas(one, schema)
+    return out.withColumn("p", F.when(F.col("se") > 0, normal_p(F.col("beta") / F.col("se"))))
 
 
 def phewas(genotypes: DataFrame, samples: DataFrame, traits: list[str]) -> DataFrame:
@@ -161,13 +192,14 @@ def categorical_dummies(samples: DataFrame, column: str, levels: list[str]) -> D
 
 
 def score_stats(genotypes: DataFrame, samples: DataFrame, trait: str) -> DataFrame:
-    """Score U and variance V of every marker under the null model of a constant mean."""
+    """Score U, its variance V and the p of U^2 / V of every marker under the null model of a constant mean."""
     null = samples.filter(F.col(trait).isNotNull()).agg(F.avg(trait).alias("mean"), F.var_pop(trait).alias("s2"))
     y = samples.select("sample_id", F.col(trait).cast("double").alias("y")).filter("y is not null").join(F.broadcast(null))
     rows = genotypes.filter("dosage is not null").join(y, "sample_id")
     g = F.col("dosage").cast("double")
     out = rows.groupBy("variant_id").agg(F.count("*").alias("n"), F.sum(g * (F.col("y") - F.col("mean"))).alias("u"), F.sum(g * g).alias("gg"), F.sum(g).alias("g"), F.first("s2").alias("s2"))
-    return out.select("variant_id", "n", "u", (F.col("s2") * (F.col("gg") - F.col("g") * F.col("g") / F.col("n"))).alias("v"))
+    out = out.select("variant_id", "n", "u", (F.col("s2") * (F.col("gg") - F.col("g") * F.col("g") / F.col("n"))).alias("v"))
+    return out.withColumn("p", F.when(F.col("v") > 1e-9, chisq1_p(F.col("u") * F.col("u") / F.col("v"))))
 
 
 def cov_window(genotypes: DataFrame, variants: DataFrame, width: int) -> DataFrame:
@@ -241,6 +273,55 @@ def skat(genotypes: DataFrame, samples: DataFrame, loci: DataFrame, trait: str,
     return table.groupBy("bin").applyInPandas(one, "bin string, loci long, q double, p double")
 
 
+def outer_sums(rows: DataFrame, column: str) -> DataFrame:
+    """i, j, value: the sum of the outer products of an array column with itself; partial sums are made in tasks."""
+
+    def partial(batches):
+        total = None
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch[column].to_numpy())
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "value": total.ravel()})
+
+    return rows.select(column).mapInPandas(partial, "i int, j int, value double").groupBy("i", "j").agg(F.sum("value").alias("value"))
+
+
+def stacked(predictors: DataFrame, ridge: float) -> DataFrame:
+    """sample_id, chrom, offset: the ridge prediction of y from all blocks' predictions but those of the chromosome.
+
+    Blocks without a sample's prediction count as 0.  Block lists and Gram matrices are bounded by the number of
+    blocks (markers / block), not by samples.
+    """
+    blocks = predictors.select("chrom", "block").distinct()
+    order = Window.orderBy("chrom", "block")  # one row for each block
+    numbered = durable(blocks.withColumn("at", F.row_number().over(order) - 1))
+    size = numbered.count()
+    per = predictors.join(F.broadcast(numbered), ["chrom", "block"]).groupBy("sample_id").agg(F.first("y").alias("y"), F.map_from_entries(F.collect_list(F.struct("at", "prediction"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
+    sums = outer_sums(per.select(F.concat(dense, F.array("y")).alias("x")), "x")
+    out = numbered.select(F.col("chrom").alias("left_out")).distinct()
+    chrom_of = numbered.select(F.col("at").alias("i"), F.col("chrom").alias("c"))
+    kept = sums.join(F.broadcast(out)).join(F.broadcast(chrom_of), "i").filter("c <> left_out")
+
+    def solve(group: pd.DataFrame) -> pd.DataFrame:
+        index = {v: k for k, v in enumerate(sorted(set(group["i"])))}
+        g, h = np.zeros((len(index), len(index))), np.zeros(len(index))
+        for i, j, value in zip(group["i"], group["j"], group["value"]):
+            if j == size:
+                h[index[i]] = value
+            elif j in index:
+                g[index[i], index[j]] = value
+        w = np.linalg.solve(g + ridge * np.eye(len(index)), h)
+        return pd.DataFrame({"left_out": group["left_out"].iloc[0], "at": list(index), "w": w})
+
+    weights = kept.groupBy("left_out").applyInPandas(solve, "left_out int, at int, w double").join(F.broadcast(numbered), "at")
+    parts = predictors.join(weights.select("chrom", "block", "left_out", "w"), ["chrom", "block"])
+    return parts.groupBy("sample_id", F.col("left_out").alias("chrom")).agg(F.sum(F.col("w") * F.col("prediction")).alias("offset"))
+
+
 def whole_genome_regression(genotypes: DataFrame, variants: DataFrame, samples: DataFrame, trait: str, block: int, ridge: float, least_mac: int = 5) -> DataFrame:
     """Step 1: ridge predictors per block of markers, stacked by a second ridge, leaving out each chromosome.
     Step 2: the score of every marker against what is left of the trait."""
@@ -263,12 +344,10 @@ def whole_genome_regression(genotypes: DataFrame, variants: DataFrame, samples:
         out = target - (target - fitted) / np.maximum(1e-6, 1 - leverage)
         return pd.DataFrame({"chrom": group["chrom"].iloc[0], "block": group["block"].iloc[0], "sample_id": x.index, "y": target, "prediction": out})
 
-    predictors = rows.groupBy("chrom", "block").applyInPandas(level0, "chrom int, block int, sample_id long, y double, prediction double")
-    # level 1: each block's predictor weighted by its own shrunken regression, then summed without one chromosome
-    fit = predictors.groupBy("chrom", "block").agg((F.sum(F.col("prediction") * F.col("y")) / (F.sum(F.col("prediction") * F.col("prediction")) + ridge)).alias("w"))
-    shares = predictors.join(fit, ["chrom", "block"]).groupBy("sample_id", "chrom").agg(F.sum(F.col("w") * F.col("prediction")).alias("part"))
-    total = shares.groupBy("sample_id").agg(F.sum("part").alias("all"), F.count("*").alias("chroms"))
-    offsets = shares.join(total, "sample_id").select("sample_id", "chrom", ((F.col("all") - F.col("part")) / F.greatest(F.col("chroms"), F.lit(1))).alias("offset"))
+    predictors = durable(rows.groupBy("chrom", "block").applyInPandas(level0, "chrom int, block int, sample_id long, y double, prediction double"))
+    # level 1: for each chromosome left out, one ridge over the predictors of all other blocks, on their summed Gram
+    # matrix (a row for each pair of blocks)
+    offsets = stacked(predictors, ridge)
     tested = rows.join(offsets, ["sample_id", "chrom"], "left").withColumn("e", F.col("y") - F.coalesce("offset", F.lit(0.0)))
     mac = genotypes.groupBy("variant_id").agg(F.least(F.sum("dosage"), 2 * F.count("dosage") - F.sum("dosage")).alias("mac")).filter(F.col("mac") >= least_mac)
     out = tested.groupBy("variant_id").agg(F.count("*").alias("n"), F.sum(F.col("x") * F.col("e")).alias("xe"), F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("e") * F.col("e")).alias("ee"))
@@ -337,9 +416,9 @@ def genomic_control(results: DataFrame, statistic: str = "chisq") -> DataFrame:
     return results.join(F.broadcast(lam)).withColumn("chisq_gc", F.col(statistic) / F.col("lambda"))
 
 
-def variance_fraction(eigenvalues: DataFrame, n: int) -> DataFrame:
-    """pc, fraction = eigenvalue / (n - 2) from an array of eigenvalues."""
-    return eigenvalues.select(F.posexplode("eigenvalues").alias("i", "value")).select((F.col("i") + 1).alias("pc"), (F.col("value") / (n - 2)).alias("fraction"))
+def variance_fraction(eigenvalues: DataFrame, n: int, *keys: str) -> DataFrame:
+    """keys, pc, fraction = eigenvalue / (n - 2) from an array of eigenvalues in each row."""
+    return eigenvalues.select(*keys, F.posexplode("eigenvalues").alias("i", "value")).select(*keys, (F.col("i") + 1).alias("pc"), (F.col("value") / (n - 2)).alias("fraction"))
 
 
 def label_duplicates(markers: DataFrame) -> DataFrame:

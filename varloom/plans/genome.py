@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from varloom.operators import graphs, intervals, joins, statistics, summaries
@@ -178,8 +179,7 @@ def _(v):
 @query("merge_plink", """, k AS (SELECT sample_id FROM genotypes INTERSECT SELECT sample_id FROM calls2 WHERE sample_id % 5 <> 0), u AS (SELECT sample_id, variant_id, dosage, 0 AS f FROM genotypes UNION ALL SELECT sample_id, variant_id, dosage, 1 FROM calls2 WHERE sample_id % 5 <> 0),
  r AS (SELECT *, row_number() OVER (PARTITION BY sample_id, variant_id ORDER BY f) AS rn FROM u WHERE sample_id IN (SELECT sample_id FROM k)) SELECT sample_id, variant_id, dosage FROM r WHERE rn = 1""")
 def _(v):
-    a, b = v.genotypes, v.calls2.filter("sample_id % 5 <> 0")
-    return joins.merge_callsets([a.join(b.select("sample_id"), "sample_id", "left_semi"), b.join(a.select("sample_id"), "sample_id", "left_semi")]).select("sample_id", "variant_id", "dosage")
+    return joins.merge_plink([v.genotypes, v.calls2.filter("sample_id % 5 <> 0")])[0]
 
 
 @query("merge_plink_lacking", "SELECT sample_id FROM genotypes EXCEPT SELECT sample_id FROM calls2 WHERE sample_id % 5 <> 0")
@@ -302,16 +302,18 @@ ALLELIC = """, q AS (SELECT variant_id, dosage, case_status FROM genotypes JOIN
  t AS (SELECT variant_id, CAST(coalesce(sum(dosage) FILTER (case_status = 2), 0) AS BIGINT) AS a, CAST(coalesce(sum(2 - dosage) FILTER (case_status = 2), 0) AS BIGINT) AS b,
  CAST(coalesce(sum(dosage) FILTER (case_status = 1), 0) AS BIGINT) AS c, CAST(coalesce(sum(2 - dosage) FILTER (case_status = 1), 0) AS BIGINT) AS d FROM q GROUP BY variant_id),
  al AS (SELECT *, CASE WHEN (a + b) * (c + d) * (a + c) * (b + d) > 0 THEN CAST(a + b + c + d AS DOUBLE) * (a * d - b * c) * (a * d - b * c) / (CAST(a + b AS DOUBLE) * (c + d) * (a + c) * (b + d)) END AS chisq,
- CASE WHEN b * c > 0 THEN CAST(a * d AS DOUBLE) / (b * c) END AS odds_ratio FROM t)"""
+ CASE WHEN b * c > 0 THEN CAST(a * d AS DOUBLE) / (b * c) END AS odds_ratio FROM t),
+ ap AS (SELECT *, CASE WHEN chisq IS NOT NULL THEN 1 - sqrt(2 / pi()) * sqrt(chisq) / 1200
+  * list_sum(list_transform(range(0, 401), lambda i: (CASE WHEN i % 400 = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-chisq * i * i / 320000))) END AS p FROM al)"""
 
 
 def allelic(v):
     return statistics.assoc_allelic(v.genotypes, v.samples)
 
 
-@query("assoc_allelic", ALLELIC + " SELECT variant_id, a, b, c, d, round(chisq, 6) AS chisq, round(odds_ratio, 6) AS odds_ratio FROM al")
+@query("assoc_allelic", ALLELIC + " SELECT variant_id, a, b, c, d, round(chisq, 6) AS chisq, round(odds_ratio, 6) AS odds_ratio, round(p + 1.234e-8, 6) AS p FROM ap")
 def _(v):
-    return six(allelic(v), "chisq", "odds_ratio")
+    return six(allelic(v).withColumn("p", F.col("p") + OFF_TIES), "chisq", "odds_ratio", "p")
 
 
 @query("assoc_fisher")
@@ -321,11 +323,11 @@ def _(v):
 
 @query("assoc_linear", """, q AS (SELECT variant_id, dosage, trait FROM genotypes JOIN samples USING (sample_id) WHERE dosage IS NOT NULL),
  l AS (SELECT variant_id, count(*) AS n, regr_slope(trait, dosage) AS beta, regr_r2(trait, dosage) AS r2 FROM q GROUP BY variant_id HAVING var_pop(dosage) > 0 AND count(*) > 3)
- SELECT variant_id, n, round(beta + 1.234e-8, 6) AS beta, round(r2, 6) AS r2 FROM l""")
+ SELECT variant_id, n, round(beta + 1.234e-8, 6) AS beta, round(r2, 6) AS r2, CASE WHEN r2 < 1 THEN round(sign(beta) * sqrt(r2 * (n - 2) / (1 - r2)), 4) END AS t FROM l""")
 def _(v):
     varied = v.genotypes.groupBy("variant_id").agg(F.var_pop("dosage").alias("s"), F.count("dosage").alias("m")).filter("s > 0 and m > 3")
     rows = statistics.assoc_linear(v.genotypes.join(varied, "variant_id", "left_semi"), v.samples, "trait")
-    return rows.select("variant_id", "n", F.round(F.col("beta") + OFF_TIES, 6).alias("beta"), F.round("r2", 6).alias("r2"))
+    return rows.select("variant_id", "n", F.round(F.col("beta") + OFF_TIES, 6).alias("beta"), F.round("r2", 6).alias("r2"), F.round("t", 4).alias("t"))
 
 
 @query("assoc_linear_adjusted", """, q AS (SELECT variant_id, CAST(dosage AS DOUBLE) AS x, CAST(sex AS DOUBLE) AS z, trait AS y FROM genotypes JOIN samples USING (sample_id) WHERE dosage IS NOT NULL),
@@ -399,7 +401,7 @@ def _(v):
  SELECT variant_id, a, b, c, d, round(CASE WHEN (a + b) * (c + d) * (a + c) * (b + d) > 0 THEN CAST(a + b + c + d AS DOUBLE) * (a * d - b * c) * (a * d - b * c) / (CAST(a + b AS DOUBLE) * (c + d) * (a + c) * (b + d)) END, 6) AS chisq,
  round(CASE WHEN b * c > 0 THEN CAST(a * d AS DOUBLE) / (b * c) END, 6) AS odds_ratio FROM t""")
 def _(v):
-    return six(statistics.batch_effect(v.genotypes, joins.random_half(v.samples, 5)), "chisq", "odds_ratio")
+    return six(statistics.batch_effect(v.genotypes, joins.random_half(v.samples, 5)).drop("p"), "chisq", "odds_ratio")
 
 
 @query("interaction_pairs")
@@ -411,11 +413,11 @@ def _(v):
     return statistics.interaction_pairs(v.genotypes, pairs, v.samples, "trait")
 
 
-P = """, pv AS (SELECT variant_id, CAST(variant_id * 7919 % 10007 AS DOUBLE) / 10007 AS p FROM variants)"""
+P = ALLELIC + """, pv AS (SELECT variant_id, round(p + 1.234e-8, 6) AS p FROM ap WHERE p IS NOT NULL)"""
 
 
 def pvalues(v):
-    return v.variants.select("variant_id", ((F.col("variant_id") * 7919 % 10007).cast("double") / 10007).alias("p"))
+    return allelic(v).filter("p is not null").select("variant_id", F.round(F.col("p") + OFF_TIES, 6).alias("p"))
 
 
 @query("bonferroni", P + " SELECT variant_id, p, round(least(1.0, p * (SELECT count(*) FROM pv)), 6) AS bonferroni FROM pv")
@@ -442,10 +444,8 @@ def _(v):
 
 @query("variance_fraction", "SELECT vec_id, i AS pc, round(CAST(embedding[i] AS DOUBLE) / 62, 6) AS fraction FROM embeddings CROSS JOIN (SELECT CAST(unnest(range(1, 65)) AS INT) AS i)")
 def _(v):
-    rows = v.embeddings.select("vec_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
-    one = rows.groupBy("vec_id", "i").agg(F.array(F.first("x")).alias("eigenvalues"))
-    made = one.select("vec_id", "i", (F.col("eigenvalues")[0] / 62).alias("f"))
-    return made.select("vec_id", (F.col("i") + 1).alias("pc"), F.round("f", 6).alias("fraction"))
+    rows = v.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("eigenvalues"))
+    return six(statistics.variance_fraction(rows, 64, "vec_id"), "fraction")
 
 
 @query("label_duplicates", """, m AS (SELECT variant_id, chrom, pos, CASE WHEN variant_id % 10 = 0 THEN '.' ELSE 'rs' || (variant_id // 3) END AS rsid, CAST(variant_id % 4 AS INT) AS type FROM variants),
@@ -471,9 +471,9 @@ def _(v):
     return graphs.related_pairs(v.pairs, 0.25)
 
 
-@query("connected_components", """, RECURSIVE_PLACEHOLDER""".replace(", RECURSIVE_PLACEHOLDER", """, n AS (SELECT id1 AS node FROM pairs WHERE pi_hat >= 0.25 UNION SELECT id2 FROM pairs WHERE pi_hat >= 0.25),
+@query("connected_components", """, n AS (SELECT id1 AS node FROM pairs WHERE pi_hat >= 0.25 UNION SELECT id2 FROM pairs WHERE pi_hat >= 0.25),
  brk AS (SELECT node, CASE WHEN EXISTS (SELECT 1 FROM pairs WHERE id2 = node AND id1 = node - 1 AND pi_hat >= 0.25) THEN 0 ELSE 1 END AS head FROM n)
- SELECT node, max(CASE WHEN head = 1 THEN node END) OVER (ORDER BY node ROWS UNBOUNDED PRECEDING) AS component FROM brk"""))  # pairs link neighbours, so components are runs
+ SELECT node, max(CASE WHEN head = 1 THEN node END) OVER (ORDER BY node ROWS UNBOUNDED PRECEDING) AS component FROM brk""")  # pairs link neighbours, so components are runs
 def _(v):
     return graphs.connected_components(graphs.related_pairs(v.pairs, 0.25))
 
@@ -495,12 +495,12 @@ def _(v):
 
 @query("pca")
 def _(v):
-    return graphs.pca(v.genotypes, 2, rounds=4)
+    return graphs.pca_without_outliers(v.genotypes, 2)
 
 
 @query("eigenstrat_assoc")
 def _(v):
-    return graphs.eigenstrat_assoc(v.genotypes, graphs.pca(v.genotypes, 2, rounds=3), v.samples, "trait")
+    return graphs.eigenstrat_assoc(v.genotypes, graphs.pca(v.genotypes, 2), v.samples, "trait")
 
 
 @query("ancestry_qda")
@@ -549,16 +549,22 @@ def _(v):
     return vcf_query(text.scan_vcf(vcf_lines(v)), "%CHROM\\t%POS\\t%INFO/CLASS")
 
 
-@query("sink_sites_only", "SELECT CAST(8 AS INT) AS fields, count(*) AS n FROM clinical WHERE variant_id IN (SELECT variant_id FROM genotypes)")
+@query("sink_sites_only", """SELECT concat_ws(chr(9), 'chr' || chrom, pos, 'v' || variant_id, ref, alt, '.', 'PASS', 'AF=' || af || ';CLNSIG=' || clnsig || ';CLASS=' || hgmd) AS value
+ FROM clinical WHERE variant_id IN (SELECT variant_id FROM genotypes)""")
 def _(v):
-    return sinks.sites_only(vcf_lines(v)).select(F.size(F.split("value", "\t")).alias("fields")).groupBy("fields").agg(F.count("*").alias("n"))
+    return sinks.sites_only(vcf_lines(v))
 
 
-@query("sink_vcf", "SELECT count(*) + 2 AS lines FROM variants")
+HEADER = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
+
+
+@query("sink_vcf", """, ls AS (SELECT chrom AS contig, pos, concat_ws(chr(9), chrom, pos, '.', ref, alt, '.', filter, '.') AS line FROM variants UNION ALL SELECT -1, 0, '##fileformat=VCFv4.2'
+ UNION ALL SELECT -1, 1, replace('#CHROM POS ID REF ALT QUAL FILTER INFO', ' ', chr(9))) SELECT contig, pos, line, lag(line) OVER (ORDER BY contig, pos, line) AS before FROM ls""")
 def _(v):
     rows = v.variants.select("chrom", "pos", "variant_id", "ref", "alt", "filter").withColumn("id", F.lit("."))
     lines = rows.select("chrom", "pos", sinks.vcf_line(F.lit(".")).alias("line"))
-    return sinks.sink_vcf(lines, ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"], ["1", "2", "3", "4", "5"]).agg(F.count("*").alias("lines"))
+    out = sinks.sink_vcf(lines, HEADER, ["1", "2", "3", "4", "5"])
+    return out.withColumn("before", F.lag("line").over(Window.orderBy("contig", "pos", "line")))
 
 
 @query("scan_plink_text", "SELECT CAST(chrom AS VARCHAR) AS chrom, 'v' || variant_id AS id, pos, alt AS a1, ref AS a2 FROM variants")
