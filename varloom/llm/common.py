@@ -32,6 +32,20 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of small fields that one task takes, and the least tasks, after a checkpoint.
+ROWS_A_TASK, LEAST_TASKS = 50_000, 8
+
+
+def tasks_for(rows: int, per_task: int = ROWS_A_TASK) -> int:
+    return max(LEAST_TASKS, rows // per_task)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """durable, in as many tasks as its rows need, whatever the number of shuffle partitions that made it."""
+    df = durable(df)
+    return df.coalesce(tasks_for(df.count()))
+
+
 def empty_for_null(column: Column | str) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return F.coalesce(c, F.lit(""))
@@ -44,7 +58,7 @@ def word_count(text: Column) -> Column:
 
 #: Characters of text that a Python task works on at once (one document at least); bounds its memory.
 BLOCK_CHARS = 1_000_000
-ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
 Made = tuple[np.ndarray | None, list]
 
 

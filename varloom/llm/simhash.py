@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import durable, empty_for_null, map_texts
+from varloom.llm.common import durable, empty_for_null, map_texts, settled, tasks_for
 from varloom.llm.components import components
 
 BITS = 64
@@ -36,10 +36,14 @@ HEAD = 16
 PROBE_COST = 30.0
 #: Leaders of a bucket in the stars that settle crowded groups before probing.
 LEADERS = 8
+#: A bucket of a fingerprint's part is crowded beyond this many members and this many times the mean.
+FULL, TIMES_MEAN = 16, 2
 #: Rounds in which every text meets its nearest leader of another component, before candidates are listed.
 LEADER_ROUNDS = 2
 #: Members of a band's bucket beyond which the bucket's pairs are compared inside the join, by their sets.
 CROWD = 64
+#: Memberships of crowded bands that a task compares.
+CROWD_ROWS = 500
 #: Gives one side's column by name.
 Side = Callable[[str], Column]
 #: Shingles whose bits are counted at once, which bounds memory for very long texts.
@@ -304,14 +308,17 @@ class Pigeonhole:
             histogram = np.zeros(1 << h)
             histogram[own["value"].to_numpy(np.int64)] = own["count"]
             counts.append(ball_counts(histogram, h, self.most[i]).astype(np.float32))
+        self.full = [FULL + TIMES_MEAN * c[0].mean() for c in counts]
         self.counts = nodes.sparkSession.sparkContext.broadcast(counts)
 
     def stored(self, nodes: DataFrame) -> DataFrame:
         return nodes.withColumn("bucket", F.explode(self.buckets))
 
-    def probes(self, nodes: DataFrame) -> DataFrame:
-        """nodes (all long, with fp) and a bucket to ask, for each value within the node's thresholds."""
+    def probes(self, nodes: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+        """nodes (all long, with fp), a bucket to ask for each value within the node's thresholds, and `crowded` (1 or
+        0).  The columns `extra` are filled where the bucket is crowded, else 0: most probes stay small."""
         counts, tau, parts, bits, widths, heads, most = self.counts, self.tau, self.parts, self.bits, self.widths, self.heads, self.most
+        full, extra = self.full, list(extra)
 
         def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = counts.value
@@ -330,9 +337,13 @@ class Pigeonhole:
                                 for cut in range(0, len(rows), max(1, 500_000 // len(around))):
                                     some = rows[cut : cut + max(1, 500_000 // len(around))]
                                     bucket = (own[some][:, None] ^ around[None, :]) | (i << 60)
-                                    yield batch.iloc[np.repeat(some, len(around))].assign(bucket=bucket.ravel())
+                                    bucket = bucket.ravel()
+                                    crowded = known[i][0, bucket & ((1 << heads[i]) - 1)] > full[i]
+                                    out = batch.iloc[np.repeat(some, len(around))].assign(bucket=bucket, crowded=crowded.astype(np.int64))
+                                    out[extra] = out[extra].to_numpy() * crowded[:, None]
+                                    yield out
 
-        return nodes.mapInPandas(probe, ", ".join(f"{c} long" for c in (*nodes.columns, "bucket")))
+        return nodes.mapInPandas(probe, ", ".join(f"{c} long" for c in (*nodes.columns, "bucket", "crowded")))
 
 
 def largest(placed: DataFrame) -> Column:
@@ -395,14 +406,15 @@ def linked_sets(nodes: DataFrame, tau: int, far: int, far_alone: int, texts: Tex
     Candidates meet in a bucket of the fingerprint (tau) or in a band, and differ in at most `far` of the wide bits;
     those that meet in no band, a small share of true links, in at most `far_alone`.  Rounds of leaders join what
     belongs together first, so that only pairs across components are left to compare: those of crowded bands by
-    their sets inside the join, which lists true links only, the others as rows.
+    their sets inside the join, which lists hardly any but true links, the others as rows.
     """
     wide = [f"w{i}" for i in range(len(MIX))]
     short = [f"s{j}" for j in range(BANDS // 4)]
     hole = Pigeonhole(nodes.select("node", "fp"), tau)
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = durable(banded.join(sizes, "bucket"))
+    shared = settled(banded.join(sizes, "bucket"))
+    tasks = tasks_for(shared.count())
     placed = nodes.select("node", "fp", *wide, *short_bands(), F.col("node").alias("comp"))
 
     def of(members: DataFrame) -> DataFrame:
@@ -411,9 +423,9 @@ def linked_sets(nodes: DataFrame, tau: int, far: int, far_alone: int, texts: Tex
     def nearest(k: int) -> DataFrame:
         """a, b: every node and the nearest leader, of its buckets' leaders from other components."""
         columns = ["bucket", "node", "comp", *wide]
-        members = of(shared).select(columns).unionByName(hole.stored(placed).select(columns))
+        members = of(shared).select(columns).coalesce(tasks).unionByName(hole.stored(placed).select(columns))
         me = F.struct("node", "comp", *wide)
-        chosen = [F.min_by(me, F.xxhash64("node", F.lit(LEADERS * k + i))) for i in range(LEADERS)]
+        chosen = [F.min_by(me, F.xxhash64("node", F.lit(LEADERS * k + i))) for i in range(LEADERS // 2)]
         leaders = members.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("leaders"), F.min("comp").alias("low"), F.max("comp").alias("high"))
         leaders = leaders.filter("low < high").drop("low", "high")
         met = F.transform(F.filter("leaders", lambda y: y["comp"] != F.col("comp")), lambda y: F.struct(apart(F.col, lambda c: y[c]).alias("far"), y["node"].alias("b")))
@@ -427,31 +439,32 @@ def linked_sets(nodes: DataFrame, tau: int, far: int, far_alone: int, texts: Tex
         return both.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
 
     for k in range(LEADER_ROUNDS):
-        placed = durable(joined(placed, between(texts.confirmed(nearest(k)))))
+        placed = settled(joined(placed, between(texts.confirmed(nearest(k)))))
 
     asks = ~largest(placed)
     p, s = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"s.{c}"))
     pair = [F.least(p("node"), s("node")).alias("a"), F.greatest(p("node"), s("node")).alias("b")]
-    # probes are many, so they carry no more than the join needs
-    slim = placed.select("node", "fp", "comp")
-    meets = (p("bucket") == s("bucket")) & (p("comp") != s("comp")) & (distance(p("fp"), s("fp")) <= tau)
-    met = hole.probes(slim.filter(asks)).alias("p").join(hole.stored(slim).hint("shuffle_hash").alias("s"), meets).select(*pair).distinct()
+    # probes are many, so they carry the wide bits only into crowded buckets, whose pairs the join must not list
+    lonely = (apart(p, s) <= far_alone) & ~in_one_band(p, s)
+    meets = (p("bucket") == s("bucket")) & (p("comp") != s("comp")) & (distance(p("fp"), s("fp")) <= tau) & ((p("crowded") == 0) | lonely)
+    met = hole.probes(placed.filter(asks), (*wide, *short)).alias("p").join(hole.stored(placed).hint("shuffle_hash").alias("s"), meets).select(*pair).distinct()
     ends = placed.select("node", *wide, *short)
     both = met.join(ends.alias("p"), F.col("a") == p("node")).join(ends.alias("s"), F.col("b") == s("node"))
-    alone = both.filter((apart(p, s) <= far_alone) & ~in_one_band(p, s)).select("a", "b")
+    alone = both.filter(lonely).select("a", "b")
     # every pair of components once, from the side that asks
     first = (p("comp") != s("comp")) & (~s("asks") | (p("comp") < s("comp")))
     held = of(shared).withColumn("asks", asks)
     mixed = held.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("bucket")
-    held = durable(held.join(mixed, "bucket"))
+    held = settled(held.join(mixed, "bucket"))
+    # a crowd's rows are compared with many others, so a task takes few of them
+    crowd_tasks = tasks_for(held.filter(F.col("n") > CROWD).count(), CROWD_ROWS)
     few, crowds = held.filter(F.col("n") <= CROWD), held.filter(F.col("n") > CROWD)
     near = (p("bucket") == s("bucket")) & first & (apart(p, s) <= far)
     together = few.filter("asks").alias("p").join(few.alias("s"), near)
-    rows = alone.unionByName(together.select(*pair)).distinct()
     sets = crowds.join(texts.sets(crowds.select("node").distinct()), "node")
     alike = sets.filter("asks").alias("p").join(sets.alias("s"), near & texts.alike(p("shingles"), s("shingles")))
-    links = between(texts.confirmed(rows)).unionByName(alike.select(p("comp").alias("a"), s("comp").alias("b")))
-    return joined(placed, links.distinct()).select("node", F.col("comp").alias("root"))
+    rows = alone.unionByName(together.select(*pair)).unionByName(alike.select(*pair).coalesce(crowd_tasks)).distinct()
+    return joined(placed, between(texts.confirmed(rows)).distinct()).select("node", F.col("comp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, tau: int = 4, size: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -504,7 +517,7 @@ class Texts:
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets of shingles have the Jaccard similarity `least` or more."""
-        pairs, size, least = durable(pairs), self.size, self.least
+        pairs, size, least = settled(pairs), self.size, self.least
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[int, np.ndarray] = {}
@@ -531,16 +544,20 @@ class Texts:
         return durable(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"))
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """node, shingles: the hashes of a text's distinct shingles."""
-        nodes, size = durable(nodes), self.size
+        """node, shingles: the lower halves of the hashes of a text's distinct shingles."""
+        nodes, size = settled(nodes), self.size
+
+        def halves(text: str) -> np.ndarray:
+            return np.unique(distinct_shingles(words_of(text), size).astype(np.uint32)).view(np.int32)
 
         def work():
-            return lambda texts: (None, [[distinct_shingles(words_of(t), size).view(np.int64) for t in texts]])
+            return lambda texts: (None, [list(map(halves, texts))])
 
-        return map_texts(self.of(nodes).join(nodes, "node", "left_semi"), ("node",), "text", {"shingles": "array<long>"}, work)
+        return map_texts(self.of(nodes).join(nodes, "node", "left_semi"), ("node",), "text", {"shingles": "array<int>"}, work)
 
     def alike(self, a: Column, b: Column) -> Column:
-        both = F.size(F.array_intersect(a, b))
+        """Whether two such sets may be similar enough: halves that coincide (one in 2^32) are allowed for."""
+        both = F.size(F.array_intersect(a, b)) * F.lit(1.001) + 1
         return both >= F.lit(self.least) * (F.size(a) + F.size(b) - both)
 
 
@@ -556,10 +573,10 @@ def similar_rows(docs: DataFrame, size: int = 5, least: float = 0.8, key: str =
     """
     wide = tuple(f"w{i}" for i in range(len(MIX)))
     hashed = docs.select(F.col(key).alias("key"), text_hash(text).alias("hash"), F.col(text).alias("text"))
-    rows = durable(wide_fingerprints(hashed, ("key", "hash"), "text", size))
+    rows = settled(wide_fingerprints(hashed, ("key", "hash"), "text", size))
     firsts = (F.first(c).alias(c) for c in ("fp", *wide, "bands"))
     # a node is a set of shingles, named by one of its texts
-    distinct = durable(rows.groupBy("shingles").agg(F.min("hash").alias("node"), *firsts))
+    distinct = settled(rows.groupBy("shingles").agg(F.min("hash").alias("node"), *firsts))
     roots = linked_sets(distinct, tau=8, far=72, far_alone=60, texts=Texts(docs, size, least, text))
     classes = distinct.select("shingles", "node").join(roots, "node").select("shingles", F.col("root").alias("group"))
     return rows.select("key", "hash", "shingles").join(classes, "shingles").select(F.col("key").alias(key), "hash", "group")
