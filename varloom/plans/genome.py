@@ -495,7 +495,7 @@ def _(v):
 
 @query("pca")
 def _(v):
-    return graphs.pca_without_outliers(v.genotypes, 2)
+    return graphs.pca_without_outliers(v.genotypes, 2, most_times=2)
 
 
 @query("eigenstrat_assoc")
