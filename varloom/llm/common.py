@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
@@ -41,8 +42,14 @@ def tasks_for(rows: int, per_task: int = ROWS_A_TASK) -> int:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """durable, in as many tasks as its rows need, whatever the number of shuffle partitions that made it."""
+    """durable, in as many tasks as its rows need, whatever the number of shuffle partitions that made it.
+
+    Spark removes the shuffle files behind a checkpoint once the driver's garbage collector has found that nothing
+    refers to them.  A small driver heap may take the length of a job for that, so it is asked to look now.
+    """
     df = durable(df)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.coalesce(tasks_for(df.count()))
 
 

@@ -463,8 +463,12 @@ def linked_sets(nodes: DataFrame, tau: int, far: int, far_alone: int, texts: Tex
     together = few.filter("asks").alias("p").join(few.alias("s"), near)
     sets = crowds.join(texts.sets(crowds.select("node").distinct()), "node")
     alike = sets.filter("asks").alias("p").join(sets.alias("s"), near & texts.alike(p("shingles"), s("shingles")))
-    rows = alone.unionByName(together.select(*pair)).unionByName(alike.select(*pair).coalesce(crowd_tasks)).distinct()
-    return joined(placed, between(texts.confirmed(rows)).distinct()).select("node", F.col("comp").alias("root"))
+
+    def rows() -> DataFrame:
+        return alone.unionByName(together.select(*pair)).unionByName(alike.select(*pair).coalesce(crowd_tasks)).distinct()
+
+    # no name holds the listed pairs, so that their shuffle files go before texts move
+    return joined(placed, between(texts.confirmed(rows())).distinct()).select("node", F.col("comp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, tau: int = 4, size: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
