@@ -37,7 +37,7 @@ PROBE_COST = 30.0
 #: Leaders of a bucket in the stars that settle crowded groups before probing.
 LEADERS = 8
 #: A bucket of a fingerprint's part is crowded beyond this many members and this many times the mean.
-FULL, TIMES_MEAN = 4, 2
+FULL, TIMES_MEAN = 2, 1
 #: Rounds in which every text meets its nearest leader of another component, before candidates are listed.
 LEADER_ROUNDS = 2
 #: Members of a band's bucket beyond which the bucket's pairs are compared inside the join, by their sets.
