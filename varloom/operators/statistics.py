@@ -131,7 +131,7 @@ def assoc_linear_adjusted(genotypes: DataFrame, samples: DataFrame, trait: str,
     rows = genotypes.filter("dosage is not null").join(samples.select("sample_id", F.col(trait).cast("double").alias("y"), *covariates).dropna(), "sample_id")
     size = 2 + len(covariates)
     out = solve_gram(gram(rows, ["variant_id"], ["dosage", *covariates], "y"), ["variant_id"], size, 1)
-    return out.withColumn("p", F.when(F.col("se") > 0, student_p(F.col("beta") / F.col("se"), (F.col("n") - size).cast("double"))))
+    return out.withColumn("p", F.when(F.col("se") > 0, student_p(F.try_divide("beta", "se"), (F.col("n") - size).cast("double"))))
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, firth: bool, rounds: int = 25) -> tuple[np.ndarray, np.ndarray] | None:
@@ -176,7 +176,7 @@ def assoc_logistic(genotypes: DataFrame, samples: DataFrame, covariates: list[st
         return pd.DataFrame([(*(group[c].iloc[0] for c in by), int(w.sum()), beta, se)], columns=[*by, "n", "beta", "se"])
 
     out = patterns.groupBy(*by).applyInPandas(one, schema)
-    return out.withColumn("p", F.when(F.col("se") > 0, normal_p(F.col("beta") / F.col("se"))))
+    return out.withColumn("p", F.when(F.col("se") > 0, normal_p(F.try_divide("beta", "se"))))
 
 
 def phewas(genotypes: DataFrame, samples: DataFrame, traits: list[str]) -> DataFrame:
@@ -199,7 +199,49 @@ def score_stats(genotypes: DataFrame, samples: DataFrame, trait: str) -> DataFra
     g = F.col("dosage").cast("double")
     out = rows.groupBy("variant_id").agg(F.count("*").alias("n"), F.sum(g * (F.col("y") - F.col("mean"))).alias("u"), F.sum(g * g).alias("gg"), F.sum(g).alias("g"), F.first("s2").alias("s2"))
     out = out.select("variant_id", "n", "u", (F.col("s2") * (F.col("gg") - F.col("g") * F.col("g") / F.col("n"))).alias("v"))
-    return out.withColumn("p", F.when(F.col("v") > 1e-9, chisq1_p(F.col("u") * F.col("u") / F.col("v"))))
+    return out.withColumn("p", F.when(F.col("v") > 1e-9, chisq1_p(F.try_divide(F.col("u") * F.col("u"), F.col("v")))))
+
+
+def score_stats_adjusted(genotypes: DataFrame, samples: DataFrame, trait: str, covariates: list[str]) -> DataFrame:
+    """variant_id, n, u, v, p of the score test under a null model of the covariates.
+
+    The null model is fitted once on all samples with trait and covariates (one Gram row).  Every marker's variance
+    takes out what its called samples' covariates explain of the dosage; covariates without variation there count
+    as absent.  Samples with a null trait or covariate and missing calls take no part; with fewer samples than
+    coefficients u and v are 0 or meaningless, and p is null where v is not above 1e-9.
+    """
+    z = [f"z{i}" for i in range(len(covariates))]
+    kept = samples.select("sample_id", F.col(trait).cast("double").alias("y"), *(F.col(c).cast("double").alias(n) for c, n in zip(covariates, z))).dropna()
+    size = len(z) + 1
+
+    def square(r) -> np.ndarray:
+        return np.array([[getattr(r, f"g_{min(i, j)}_{max(i, j)}") for j in range(size)] for i in range(size)])
+
+    def null_model(batches):
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                if r.n:
+                    h = np.array([getattr(r, f"h_{i}") for i in range(size)])
+                    w = np.linalg.pinv(square(r), hermitian=True) @ h
+                    yield pd.DataFrame({"w": [w], "s2": [max(0.0, r.yy - w @ h) / r.n]})
+
+    null = gram(kept, [], z, "y").mapInPandas(null_model, "w array<double>, s2 double")
+    fitted = sum((F.col("w")[i + 1] * F.col(n) for i, n in enumerate(z)), F.col("w")[0])
+    left = kept.join(F.broadcast(null)).select("sample_id", *z, (F.col("y") - fitted).alias("e"), "s2")
+    rows = genotypes.filter("dosage is not null").select("variant_id", "sample_id", F.col("dosage").cast("double").alias("d")).join(left, "sample_id")
+    sums = rows.withColumn("de", F.col("d") * F.col("e"))
+    table = gram(sums, ["variant_id"], z, "d").join(sums.groupBy("variant_id").agg(F.sum("de").alias("u"), F.first("s2").alias("s2")), "variant_id")
+
+    def variance(batches):
+        for batch in batches:
+            out = []
+            for r in batch.itertuples(index=False):
+                h = np.array([getattr(r, f"h_{i}") for i in range(size)])
+                out.append((r.variant_id, r.n, r.u, r.s2 * max(0.0, r.yy - h @ np.linalg.pinv(square(r), hermitian=True) @ h)))
+            yield pd.DataFrame(out, columns=["variant_id", "n", "u", "v"])
+
+    out = table.mapInPandas(variance, "variant_id long, n long, u double, v double")
+    return out.withColumn("p", F.when(F.col("v") > 1e-9, chisq1_p(F.try_divide(F.col("u") * F.col("u"), F.col("v")))))
 
 
 def cov_window(genotypes: DataFrame, variants: DataFrame, width: int) -> DataFrame:
@@ -410,10 +452,29 @@ def merge_sorted_results(parts: list[DataFrame], p: str = "p") -> DataFrame:
     return out.orderBy(F.asc_nulls_last(p))
 
 
+def exact_median(rows: DataFrame, column: str) -> float | None:
+    """The median (the mean of the middle two of an even number), null values left out; None without values.
+
+    A sketch gives two values that enclose the middle; rows below are only counted, and the exact percentile is taken
+    of the few hundredths of a part in between.
+    """
+    x = rows.filter(F.col(column).isNotNull()).select(F.col(column).alias("x"))
+    low, high = x.agg(F.percentile_approx("x", [0.499, 0.501], 10000).alias("b")).first()["b"] or (None, None)
+    if low is None:
+        return None
+    inside = F.col("x").between(low, high)
+    c = x.agg(F.count_if(F.col("x") < low).alias("below"), F.count_if(inside).alias("inside"), F.count("*").alias("n")).first()
+    place = (c["n"] - 1) / 2 - c["below"]
+    if not 0 <= place <= c["inside"] - 1:
+        raise RuntimeError("the sketch does not enclose the median")
+    return x.filter(inside).agg(F.percentile("x", place / max(1, c["inside"] - 1)).alias("m")).first()["m"]
+
+
 def genomic_control(results: DataFrame, statistic: str = "chisq") -> DataFrame:
     """Statistics divided by lambda = max(1, median / 0.456)."""
-    lam = results.agg(F.greatest(F.lit(1.0), F.percentile(statistic, 0.5) / 0.456).alias("lambda"))
-    return results.join(F.broadcast(lam)).withColumn("chisq_gc", F.col(statistic) / F.col("lambda"))
+    results = durable(results)
+    lam = max(1.0, (exact_median(results, statistic) or 0.0) / 0.456)
+    return results.withColumn("lambda", F.lit(lam)).withColumn("chisq_gc", F.col(statistic) / F.col("lambda"))
 
 
 def variance_fraction(eigenvalues: DataFrame, n: int, *keys: str) -> DataFrame:
@@ -423,14 +484,19 @@ def variance_fraction(eigenvalues: DataFrame, n: int, *keys: str) -> DataFrame:
 
 def label_duplicates(markers: DataFrame) -> DataFrame:
     """New ids of repeated rsids: with a type 2, type 0 gets _t0 and type 3 _t3; otherwise type 3 gets _t3 where a
-    type 0 exists.  '.' becomes chrC:pos.  unresolved marks ids that still repeat."""
-    w = Window.partitionBy("rsid")
-    has = {t: F.max((F.col("type") == t).cast("int")).over(w) == 1 for t in (0, 2, 3)}
-    many = F.count("*").over(w) > 1
-    suffix = F.when(many & has[2] & (F.col("type") == 0), "_t0").when(many & (has[2] | has[0]) & (F.col("type") == 3), "_t3").otherwise("")
-    name = F.when(F.col("rsid") == ".", F.concat(F.lit("chr"), F.col("chrom").cast("string"), F.lit(":"), F.col("pos").cast("string"))).otherwise(F.concat("rsid", suffix))
-    out = markers.withColumn("marker", name)
-    return out.withColumn("unresolved", F.count("*").over(Window.partitionBy("marker")) > 1)
+    type 0 exists.  '.' becomes chrC:pos.  unresolved marks ids that still repeat; a null rsid stays null.
+
+    Counts are combined before the shuffle and only repeated ids are joined back, so '.' meets in no task."""
+    has = [F.max((F.col("type") == t).cast("int")).alias(f"__has{t}") for t in (0, 2)]
+    repeated = markers.filter("rsid <> '.'").groupBy("rsid").agg(*has, F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    out = markers.join(repeated, "rsid", "left")
+    two, zero = F.col("__has2") == 1, F.col("__has0") == 1
+    suffix = F.when(two & (F.col("type") == 0), "_t0").when((two | zero) & (F.col("type") == 3), "_t3").otherwise("")
+    place = F.concat(F.lit("chr"), F.col("chrom").cast("string"), F.lit(":"), F.col("pos").cast("string"))
+    out = out.withColumn("marker", F.when(F.col("rsid") == ".", place).otherwise(F.concat("rsid", suffix))).select(*markers.columns, "marker")
+    again = out.groupBy(F.col("marker").alias("__marker")).agg(F.count("*").alias("__n")).filter("__n > 1")
+    out = out.join(again, F.col("marker").eqNullSafe(F.col("__marker")), "left")
+    return out.withColumn("unresolved", F.col("__n").isNotNull()).drop("__marker", "__n")
 
 
 def top_annotations(transcripts: DataFrame, most: int = 3) -> DataFrame:

@@ -316,9 +316,14 @@ def _(v):
     return six(allelic(v).withColumn("p", F.col("p") + OFF_TIES), "chisq", "odds_ratio", "p")
 
 
-@query("assoc_fisher")
+# every table with the same margins, its log probability but for a constant, and the one seen
+@query("assoc_fisher", ALLELIC + """, fx AS (SELECT variant_id, a, b, c, d, unnest(range(CAST(greatest(0, a - d) AS BIGINT), CAST(least(a + b, a + c) AS BIGINT) + 1)) AS x FROM al),
+ fl AS (SELECT variant_id, x = a AS seen, 0.0 - lgamma(x + 1) - lgamma(a + b - x + 1) - lgamma(a + c - x + 1) - lgamma(d - a + x + 1) AS l FROM fx),
+ fe AS (SELECT variant_id, seen, exp(l - max(l) OVER (PARTITION BY variant_id)) AS e FROM fl),
+ fs AS (SELECT variant_id, e, max(CASE WHEN seen THEN e END) OVER (PARTITION BY variant_id) AS s FROM fe)
+ SELECT variant_id, round(least(1.0, sum(e) FILTER (e <= s * (1 + 1e-9)) / sum(e)) + 1.234e-8, 6) AS p FROM fs GROUP BY variant_id""")
 def _(v):
-    return allelic(v).select("variant_id", statistics.fisher_p("a", "b", "c", "d").alias("p"))
+    return allelic(v).select("variant_id", F.round(statistics.fisher_p("a", "b", "c", "d") + OFF_TIES, 6).alias("p"))
 
 
 @query("assoc_linear", """, q AS (SELECT variant_id, dosage, trait FROM genotypes JOIN samples USING (sample_id) WHERE dosage IS NOT NULL),
@@ -370,6 +375,15 @@ def _(v):
     return statistics.score_stats(v.genotypes, v.samples, "trait").select("variant_id", "n", F.round("u", 2).alias("u"), F.round("v", 1).alias("v"))
 
 
+@query("score_stats_adjusted", """, nl AS (SELECT regr_slope(trait, sex) AS k, regr_intercept(trait, sex) AS k0 FROM samples),
+ r AS (SELECT sample_id, CAST(sex AS DOUBLE) AS z, trait - k0 - k * sex AS e FROM samples CROSS JOIN nl), s2 AS (SELECT avg(e * e) AS s2 FROM r),
+ q AS (SELECT variant_id, CAST(dosage AS DOUBLE) AS g, z, e FROM genotypes JOIN r USING (sample_id) WHERE dosage IS NOT NULL),
+ a AS (SELECT variant_id, count(*) AS n, sum(g * e) AS u, covar_pop(g, g) AS gg, covar_pop(g, z) AS gz, covar_pop(z, z) AS zz FROM q GROUP BY variant_id)
+ SELECT variant_id, n, round(u, 2) AS u, round(s2 * n * (gg - CASE WHEN zz > 1e-9 THEN gz * gz / zz ELSE 0 END)) AS v FROM a CROSS JOIN s2""")
+def _(v):
+    return statistics.score_stats_adjusted(v.genotypes, v.samples, "trait", ["sex"]).select("variant_id", "n", F.round("u", 2).alias("u"), F.round("v").alias("v"))
+
+
 @query("cov_window", """, nr AS (SELECT a.variant_id AS v1, b.variant_id AS v2 FROM variants a JOIN variants b ON a.chrom = b.chrom AND b.pos BETWEEN a.pos AND a.pos + 2000 AND (b.pos > a.pos OR b.variant_id > a.variant_id))
  SELECT v1, v2, count(*) AS n, round(covar_samp(x.dosage, y.dosage), 6) AS cov FROM nr JOIN genotypes x ON x.variant_id = v1 JOIN genotypes y ON y.variant_id = v2 AND y.sample_id = x.sample_id
  WHERE x.dosage IS NOT NULL AND y.dosage IS NOT NULL GROUP BY v1, v2""")
@@ -404,13 +418,29 @@ def _(v):
     return six(statistics.batch_effect(v.genotypes, joins.random_half(v.samples, 5)).drop("p"), "chisq", "odds_ratio")
 
 
-@query("interaction_pairs")
-def _(v):
-    from pyspark.sql import Window
+# the product's part left by d1 (s1), then by d2 (s2), as sums of squares and products; the coefficient is their ratio
+def _left(x: str, y: str, by: str, of: str) -> str:
+    order = ["u", "w", "p", "y"]
+    name = lambda a, b: of + "".join(sorted((a, b), key=order.index))
+    return f"{name(x, y)} - coalesce({name(by, x)} * {name(by, y)} / nullif({name(by, by)}, 0), 0)"
 
+
+INTERACTION = f""", vp AS (SELECT variant_id AS v1, lead(variant_id) OVER (PARTITION BY gene ORDER BY variant_id) AS v2 FROM variants),
+ q AS (SELECT v1, v2, CAST(a.dosage AS DOUBLE) AS u, CAST(b.dosage AS DOUBLE) AS w, CAST(a.dosage * b.dosage AS DOUBLE) AS p, trait AS y FROM vp JOIN genotypes a ON a.variant_id = v1 JOIN genotypes b ON b.variant_id = v2 AND b.sample_id = a.sample_id
+  JOIN samples s ON s.sample_id = a.sample_id WHERE a.dosage IS NOT NULL AND b.dosage IS NOT NULL AND trait IS NOT NULL),
+ s0 AS (SELECT v1, v2, count(*) AS n, {", ".join(f"count(*) * covar_pop({a}, {b}) AS c{a}{b}" for i, a in enumerate("uwpy") for b in "uwpy"[i:])} FROM q GROUP BY v1, v2),
+ s1 AS (SELECT v1, v2, n, cuu, {", ".join(f"{_left(a, b, 'u', 'c')} AS d{a}{b}" for i, a in enumerate("wpy") for b in "wpy"[i:])} FROM s0),
+ s2 AS (SELECT v1, v2, n, cuu, dww, {", ".join(f"{_left(a, b, 'w', 'd')} AS e{a}{b}" for i, a in enumerate("py") for b in "py"[i:])} FROM s1)
+ SELECT v1, v2, n, CASE WHEN n > 4 AND cuu > 1e-6 AND dww > 1e-6 AND epp > 1e-6 THEN round(epy / epp + 1.234e-6, 4) END AS beta,
+  CASE WHEN n > 4 AND cuu > 1e-6 AND dww > 1e-6 AND epp > 1e-6 THEN round(sqrt(greatest(0, eyy - epy * epy / epp) / (n - 4) / epp) + 1.234e-6, 3) END AS se FROM s2"""
+
+
+@query("interaction_pairs", INTERACTION)
+def _(v):
     order = Window.partitionBy("gene").orderBy("variant_id")
     pairs = v.variants.select(F.col("variant_id").alias("v1"), F.lead("variant_id").over(order).alias("v2")).filter("v2 is not null")
-    return statistics.interaction_pairs(v.genotypes, pairs, v.samples, "trait")
+    out = statistics.interaction_pairs(v.genotypes, pairs, v.samples, "trait")
+    return out.select("v1", "v2", "n", F.round(F.col("beta") + 100 * OFF_TIES, 4).alias("beta"), F.round(F.col("se") + 100 * OFF_TIES, 3).alias("se"))
 
 
 P = ALLELIC + """, pv AS (SELECT variant_id, round(p + 1.234e-8, 6) AS p FROM ap WHERE p IS NOT NULL)"""
