@@ -119,6 +119,9 @@ FORMATS = {
 }
 
 
+CARVED = {"ordinal": "long", "media_type": "string", "offset": "long", "length": "long", "media": "binary"}
+
+
 @cache
 def magic() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
@@ -167,8 +170,10 @@ def feature_of(kind: str, payload: bytes, embedded: list[tuple[str, int, int]])
 
 
 def store(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_bytes, declared, media: every whole text, padded with zero bytes to a positive multiple of 64."""
+    """key, n_bytes, declared, media: every whole text, padded with zero bytes to a positive multiple of 64.
 
+    Null texts count as empty; rows with null or repeated keys stay, and an empty table gives an empty result.
+    """
 
     def block(texts: list[str]):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
@@ -185,7 +190,6 @@ def inspect(media: DataFrame, key: str = "doc_id", declared: str = "declared", b
     columns are ignored; rows with null or repeated keys stay; an empty table gives an empty result.
     """
 
-
     def look(told: str, stored: bytes) -> tuple:
         found = sniff(stored)
         whole = next((x for x in found if x[1] == 0), None)
@@ -211,3 +215,31 @@ def inspect(media: DataFrame, key: str = "doc_id", declared: str = "declared", b
     rows = media.select(F.col(key).alias("key"), n.alias("n"), F.coalesce(F.col(declared), F.lit("")).alias("declared"), F.coalesce(F.col(blob), F.lit(b"")).alias("media"))
     schema = ", ".join([f"key {kind}", "n long", *(f"{n} {k}" for n, k in made.items())])
     return rows.mapInArrow(batches, schema).withColumnsRenamed({"key": key, "n": "n_bytes"})
+
+
+def carve(media: DataFrame, key: str = "doc_id", blob: str = "media") -> DataFrame:
+    """key, ordinal (from 0), media_type, offset, length, media: the bytes of each object embedded behind a blob's start.
+
+    Null and empty blobs give no rows; blobs that repeat a key, or have none, each give their own.  Objects inside an
+    embedded one come out by carving the result again.
+    """
+    kind = media.schema[key].dataType
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                source, rows = [], []
+                for i, stored in enumerate(part.column(1)):
+                    b = stored.as_py()
+                    inside = [x for x in sniff(b) if x[1]]
+                    source += [i] * len(inside)
+                    rows += [(n, k, start, size, b[start : start + size]) for n, (k, start, size) in enumerate(inside)]
+                keys = part.column(0).take(pa.array(source, pa.int64()))
+                values = list(zip(*rows)) or [()] * len(CARVED)
+                arrays = [pa.array(v, ARROW[t]) for v, t in zip(values, CARVED.values())]
+                yield pa.RecordBatch.from_arrays([keys, *arrays], names=["key", *CARVED])
+
+    rows = media.filter(F.col(blob).isNotNull()).select(F.col(key).alias("key"), F.col(blob).alias("media"))
+    schema = ", ".join([f"key {kind.simpleString()}", *(f"{n} {t}" for n, t in CARVED.items())])
+    return rows.mapInArrow(batches, schema).withColumnRenamed("key", key)

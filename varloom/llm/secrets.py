@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,12 +141,34 @@ def scan_paths(
     """
     new = update_ledger(docs, ledger, rules, text)
     known = new if ledger is None else ledger.select("blob", "rule", "version", "spans").unionByName(new)
-    found = findings(known, rules).select(F.col("blob").alias("__blob"), F.col("spans").alias("__found"))
+    return at_paths(docs, known, rules, text, spans)
+
+
+def at_paths(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", spans: str = "spans") -> DataFrame:
+    """Every row of docs with what a ledger knows of its content; nothing is scanned."""
+    found = findings(ledger, rules).select(F.col("blob").alias("__blob"), F.col("spans").alias("__found"))
     keyed = docs.drop(spans).withColumn("__blob", F.sha2(empty_for_null(text).cast("binary"), 256))
     out = keyed.join(found, "__blob", "left").withColumn(spans, F.coalesce("__found", F.array().cast(f"array<{SPAN}>")))
     return out.drop("__blob", "__found")
 
 
+def scan_with_folder(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, text: str = "text", spans: str = "spans") -> DataFrame:
+    """scan_paths with a ledger that lives in a Parquet folder, which a first run starts.
+
+    Only contents and rule versions that the folder lacks are scanned; their rows are appended, also those without
+    findings, and stay for later runs.  Runs that overlap may add a row twice, which counts once.
+    """
+    spark = docs.sparkSession
+    try:
+        old = spark.read.parquet(folder)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = empty_ledger(spark)
+    update_ledger(docs, old, rules, text).write.mode("append").parquet(folder)
+    return at_paths(docs, spark.read.parquet(folder), rules, text, spans)
+
+
 def span_text(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))))
 
