@@ -126,8 +126,8 @@ def scan_intervals(lines: DataFrame) -> DataFrame:
 
 
 def scan_delimited(spark: SparkSession, path: str, schema: str | None = None, sep: str = "\t") -> DataFrame:
-    """A table with a header; NA and empty fields are null."""
-    return spark.read.csv(path, sep=sep, header=True, schema=schema, nullValue="NA")
+    """A table with a header; NA and empty fields are null, a quote within quotes is doubled."""
+    return spark.read.csv(path, sep=sep, header=True, schema=schema, nullValue="NA", quote='"', escape='"')
 
 
 def scan_rdb(spark: SparkSession, url: str, query: str, column: str | None = None, bounds: tuple[int, int, int] | None = None) -> DataFrame:
