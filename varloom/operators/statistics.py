@@ -207,8 +207,8 @@ def score_stats_adjusted(genotypes: DataFrame, samples: DataFrame, trait: str, c
 
     The null model is fitted once on all samples with trait and covariates (one Gram row).  Every marker's variance
     takes out what its called samples' covariates explain of the dosage; covariates without variation there count
-    as absent.  Samples with a null trait or covariate and missing calls take no part; with fewer samples than
-    coefficients u and v are 0 or meaningless, and p is null where v is not above 1e-9.
+    as absent.  Samples with a null trait or covariate and missing calls take no part; markers whose called samples
+    the covariates explain whole have v = 0, and p is null where v is not above 1e-9.
     """
     z = [f"z{i}" for i in range(len(covariates))]
     kept = samples.select("sample_id", F.col(trait).cast("double").alias("y"), *(F.col(c).cast("double").alias(n) for c, n in zip(covariates, z))).dropna()
