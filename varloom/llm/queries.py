@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import chat, licenses, media, mixing, packing, secrets, simhash, tokens, topk, toxicity
+from varloom.llm import bpe, chat, licenses, media, mixing, packing, secrets, simhash, tokens, topk, toxicity
 from varloom.llm.common import table
 from varloom.plans.registry import shipped
 
@@ -52,8 +52,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), "byte_bpe_multi_50k.tiktoken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_toxicity, op2_exact_topk, op3_secret_scan, op4_token_counts, op5_chat_format, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_media_sniffing, op10_source_mix)
+    own = (op1_toxicity, op2_exact_topk, op3_secret_scan, op4_token_counts, op5_chat_format, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_media_sniffing, op10_source_mix, op11_byte_bpe)
     return {q.__name__: shipped(q) for q in own}
 
 
