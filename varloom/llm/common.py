@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: The characters that are not of words.
+WHITE = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +60,10 @@ def empty_for_null(column: Column | str) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def space_for_null(column: Column) -> Column:
+    return F.coalesce(column, F.lit(" "))
+
+
 def word_count(text: Column) -> Column:
     """Number of `[^\\x20\\x09-\\x0D]+` in a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
