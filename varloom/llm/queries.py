@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import bpe, chat, licenses, media, mixing, packing, repair, secrets, simhash, tokens, topk, toxicity
+from varloom.llm import bpe, chat, licenses, media, mixing, packing, repair, secrets, simhash, tokens, topk, toxicity, trie
 from varloom.llm.common import table
 from varloom.plans.registry import shipped
 
@@ -61,10 +61,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digest(rows, repair.repair(repair.damage(rows)))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(trie.turns_in_order(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_toxicity, op2_exact_topk, op3_secret_scan, op4_token_counts, op5_chat_format, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_media_sniffing, op10_source_mix, op11_byte_bpe, op12_conversation_repair)
+    own = (op1_toxicity, op2_exact_topk, op3_secret_scan, op4_token_counts, op5_chat_format, op6_simhash, op7_license_scan, op8_best_fit_packing, op9_media_sniffing, op10_source_mix, op11_byte_bpe, op12_conversation_repair, op13_conversation_trie)
     return {q.__name__: shipped(q) for q in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_topk": topk.ORACLE, "op5_chat_format": chat.ORACLE, "op12_conversation_repair": repair.ORACLE}
+    return {"op2_exact_topk": topk.ORACLE, "op5_chat_format": chat.ORACLE, "op12_conversation_repair": repair.ORACLE, "op13_conversation_trie": trie.ORACLE}
