@@ -30,7 +30,7 @@ from varloom.llm.tokens import Recent
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens that a worker remembers (twice as many at most), and the longest of them in characters; bounds its memory.
-DICTIONARY_ENTRIES, LONGEST_KEPT = 500_000, 48
+DICTIONARY_ENTRIES, LONGEST_KEPT = 180_000, 48
 
 # The pattern for texts of Latin-1 characters alone, for which the standard library's engine is three times as fast.
 _LETTER, _DIGIT, _SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
