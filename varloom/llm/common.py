@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.operators.durable import durable  # noqa: F401  the operators here take it from this module
+
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: The characters that are not of words.
@@ -21,20 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute once and cut lineage with a reliable checkpoint.
-
-    The cluster names the shared folder in spark.checkpoint.dir; only a session without one (tests)
-    gets a folder of its own.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 #: Rows of small fields that one task takes, and the least tasks, after a checkpoint.
 ROWS_A_TASK, LEAST_TASKS = 50_000, 8
 
@@ -44,14 +30,8 @@ def tasks_for(rows: int, per_task: int = ROWS_A_TASK) -> int:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """durable, in as many tasks as its rows need, whatever the number of shuffle partitions that made it.
-
-    Spark removes the shuffle files behind a checkpoint once the driver's garbage collector has found that nothing
-    refers to them.  A small driver heap may take the length of a job for that, so it is asked to look now.
-    """
+    """durable, in as many tasks as its rows need, whatever the number of shuffle partitions that made it."""
     df = durable(df)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
     return df.coalesce(tasks_for(df.count()))
 
 
