@@ -37,10 +37,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     groups = simhash.similar_rows(docs.select("doc_id", "text"), size=5)
     ranked = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("x")
-    kept = groups.groupBy("group").agg(ranked).select(F.xxhash64("x.hash", "x.none", "x.doc_id").alias("__row"))
-    row = F.xxhash64(simhash.text_hash("text"), F.col("doc_id").isNull(), "doc_id")
-    rows = docs.withColumn("__row", row).join(kept, "__row")
-    first = F.row_number().over(Window.partitionBy("__row").orderBy(F.xxhash64(*docs.columns)))
+    kept = groups.groupBy("group").agg(ranked).select(F.col("x.hash").alias("__kept"), F.col("x.doc_id").alias("__kept_id"))
+    marked = docs.withColumn("__hash", simhash.text_hash("text"))
+    rows = marked.join(kept, (marked["__hash"] == kept["__kept"]) & marked["doc_id"].eqNullSafe(kept["__kept_id"]))
+    first = F.row_number().over(Window.partitionBy("__hash", "doc_id").orderBy(F.xxhash64(*docs.columns)))
     return rows.withColumn("__first", first).filter("__first = 1").select(*docs.columns)
 
 
@@ -89,7 +89,10 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's rows are written to the shared folder and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    shared = shared or tempfile.mkdtemp(prefix="spark-pipeline-")
     base = f"{shared}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
