@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varloom.functions import alleles, ranks
-from varloom.operators import filters, graphs, intervals, joins, statistics, summaries
+from varloom.operators import filters, graphs, intervals, joins, kinship, statistics, summaries
 from varloom.sources import sinks, text
 from varloom.streaming import sources as streams
 
@@ -124,11 +124,11 @@ def test_unrelated_set_leaves_no_pair(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (10, 12), (10, 13), (20, 21)]
     df = spark.createDataFrame(edges, "id1 long, id2 long")
     for exact in (0, 10):
-        gone = {r.sample_id for r in graphs.unrelated_set(df, exact_up_to=exact).collect()}
+        gone = {r.sample_id for r in kinship.unrelated_set(df, exact_up_to=exact).collect()}
         assert all(a in gone or b in gone for a, b in edges)
         assert 10 in gone and len(gone) == 4
     ranked = spark.createDataFrame([(21, 1.0), (20, 2.0)], "sample_id long, rank double")
-    assert 21 in {r.sample_id for r in graphs.unrelated_set(df, ranked).collect()}
+    assert 21 in {r.sample_id for r in kinship.unrelated_set(df, ranked).collect()}
 
 
 def test_components(spark):

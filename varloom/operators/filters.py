@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions import alleles, ranks
+from varloom.operators.equilibrium import with_exact_p
 from varloom.operators.intervals import in_regions
-from varloom.operators.summaries import allele_freq, genotype_counts, hwe_chisq
+from varloom.operators.statistics import exact_quantiles
+from varloom.operators.summaries import allele_freq, genotype_counts
 
 
 def vcf_query(sites: DataFrame, template: str) -> DataFrame:
@@ -175,7 +177,8 @@ def apply_recalibration(variants: DataFrame, scores: DataFrame, truth: DataFrame
     """FILTER of each type of variant by its score: PASS from the threshold on that keeps the asked share of the
     truth sites, else a tranche label.  The thresholds are one row per type."""
     typed = variants.withColumn("__type", alleles.variant_type(F.col("ref"), F.col("alt"))).join(scores, "variant_id", "left")
-    limits = typed.join(truth.select("variant_id"), "variant_id", "left_semi").groupBy("__type").agg(F.percentile("score", 1 - sensitivity).alias("__limit"))
+    known = typed.join(truth.select("variant_id"), "variant_id", "left_semi")
+    limits = exact_quantiles(known, "score", [1 - sensitivity], "__type").select("__type", F.col("value").alias("__limit"))
     low = F.col("score").isNotNull() & (F.col("score") < F.col("__limit"))
     out = typed.join(F.broadcast(limits), "__type", "left")
     return out.withColumn("filter", F.when(low, F.lit(f"Tranche{sensitivity * 100:g}")).otherwise(F.lit("PASS"))).drop("__limit", "__type")
@@ -209,14 +212,16 @@ def extract_marker_sample(genotypes: DataFrame, variants: DataFrame, regions: Da
     return out.join(common, "variant_id", "left_semi")
 
 
-def hwe_geno_maf_qc(genotypes: DataFrame, least_maf: float, most_missing: float, most_chisq: float) -> DataFrame:
-    """Markers that pass all three, from one aggregate."""
+def hwe_geno_maf_qc(genotypes: DataFrame, least_maf: float, most_missing: float, least_p: float) -> DataFrame:
+    """Markers that pass the frequency, the missing rate and the exact test of equilibrium, from one aggregate.
+
+    The test is worked out only for markers that pass the other two.
+    """
     c = genotype_counts(genotypes)
     n = F.col("hom_ref") + F.col("het") + F.col("hom_alt")
     af = F.when(n > 0, (F.col("het") + 2 * F.col("hom_alt")) / (2 * n))
-    chisq = F.coalesce(hwe_chisq(F.col("hom_ref"), F.col("het"), F.col("hom_alt")), F.lit(0.0))
-    keep = (F.least(af, 1 - af) >= least_maf) & (F.col("missing") / (n + F.col("missing")) <= most_missing) & (chisq <= most_chisq)
-    return c.filter(keep).select("variant_id")
+    keep = (F.least(af, 1 - af) >= least_maf) & (F.col("missing") / (n + F.col("missing")) <= most_missing)
+    return with_exact_p(c.filter(keep)).filter(F.col("p") >= least_p).select("variant_id")
 
 
 def drop_palindromic(variants: DataFrame) -> DataFrame:

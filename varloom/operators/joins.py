@@ -20,11 +20,12 @@ def explode_alts(sites: DataFrame) -> DataFrame:
 
 def annotate_sites(sites: DataFrame, *sources: tuple[DataFrame, list[str]]) -> DataFrame:
     """Left joins of annotation columns on (chrom, pos, ref, alt), one source after the other; a source that
-    repeats a site gives its first record by value."""
+    repeats a site gives its first record, as a whole, by the values of the columns in order (nulls last)."""
     out = explode_alts(sites)
     for source, columns in sources:
-        one = source.groupBy(*SITE).agg(*(F.min(c).alias(c) for c in columns))
-        out = out.join(one, SITE, "left")
+        order = F.struct(*(x for c in columns for x in (F.col(c).isNull(), F.col(c))))
+        one = source.groupBy(*SITE).agg(F.min_by(F.struct(*columns), order).alias("__record"))
+        out = out.join(one.select(*SITE, "__record.*"), SITE, "left")
     return out
 
 

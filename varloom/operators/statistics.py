@@ -18,42 +18,90 @@ from varloom.operators.durable import durable
 from varloom.operators.intervals import position_rank
 
 
+def erfc(x: np.ndarray) -> np.ndarray:
+    """Complementary error function of values from 0 on, relative error below 1e-13: the series of the error function
+    below 2, the continued fraction of the tail (Lentz) beyond."""
+    x = np.asarray(x, dtype=np.float64)
+    out = np.full(x.shape, np.nan)
+    small, large = x < 2, x >= 2
+    if small.any():
+        v = x[small]
+        term = total = v.copy()
+        for k in range(1, 60):
+            term = term * (2 * v * v / (2 * k + 1))
+            total = total + term
+        out[small] = 1 - 2 / math.sqrt(math.pi) * np.exp(-v * v) * total
+    if large.any():
+        v = np.minimum(x[large], 1e8)
+        f = c = v.copy()
+        d = np.zeros_like(v)
+        for k in range(1, 120):
+            d = 1 / (v + k / 2 * d)
+            c = v + k / 2 / c
+            f = f * c * d
+        out[large] = np.exp(-v * v) / (math.sqrt(math.pi) * f)
+    return out
+
+
 @F.pandas_udf(T.DoubleType())
 def chisq1_p(x: pd.Series) -> pd.Series:
     """Upper tail of chi-square with one degree of freedom."""
-    return x.map(lambda v: math.erfc(math.sqrt(v / 2)) if v == v and v >= 0 else math.nan)
+    v = x.to_numpy(np.float64, na_value=np.nan)
+    return pd.Series(erfc(np.sqrt(np.where(v >= 0, v, np.nan) / 2)))
 
 
 @F.pandas_udf(T.DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     """Two-sided p of a normal score."""
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)) if v == v else math.nan)
-
-
-def beta_tail(x: float, a: float, b: float) -> float:
-    """The regularised incomplete beta function, by its continued fraction (Lentz)."""
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    if x > (a + 1) / (a + b + 2):
-        return 1.0 - beta_tail(1 - x, b, a)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    return pd.Series(erfc(np.abs(z.to_numpy(np.float64, na_value=np.nan)) / math.sqrt(2)))
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Of positive values: Stirling's series beyond 10, reached by the recurrence."""
+    x, shift = np.asarray(x, dtype=np.float64).copy(), 0.0
+    for _ in range(10):
+        low = x < 10
+        shift = shift + np.where(low, np.log(np.where(low, x, 1.0)), 0.0)
+        x = np.where(low, x + 1, x)
+    y = 1 / (x * x)
+    series = (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y * (1 / 1680 - y * (1 / 1188 - y * 691 / 360360))))) / x
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series - shift
+
+
+def beta_tail(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The regularised incomplete beta function, by its continued fraction (Lentz), for arrays."""
+    x, a, b = np.broadcast_arrays(*(np.asarray(v, dtype=np.float64) for v in (x, a, b)))
+    out = np.where(x >= 1, 1.0, np.where(x <= 0, 0.0, np.nan))
+    inside = (x > 0) & (x < 1)
+    if not inside.any():
+        return out
+    x, a, b = x[inside], a[inside], b[inside]
+    turn = x > (a + 1) / (a + b + 2)
+    x, a, b = np.where(turn, 1 - x, x), np.where(turn, b, a), np.where(turn, a, b)
+    front = np.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * np.log(x) + b * np.log1p(-x)) / a
     tiny = 1e-300
-    d = 1 / max(tiny, 1 - (a + b) * x / (a + 1))
-    c, f = 1.0, d
+    kept = lambda v: np.where(v == 0, tiny, v)
+    d = 1 / kept(1 - (a + b) * x / (a + 1))
+    c, f = np.ones_like(x), d
     for m in range(1, 400):
         for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 / ((1 + top * d) or tiny)
-            c = (1 + top / c) or tiny
-            f *= c * d
-        if abs(c * d - 1) < 1e-14:
+            d = 1 / kept(1 + top * d)
+            c = kept(1 + top / c)
+            f = f * c * d
+        if np.abs(c * d - 1).max() < 1e-14:
             break
-    return front * f
+    out[inside] = np.where(turn, 1 - front * f, front * f)
+    return out
 
 
 @F.pandas_udf(T.DoubleType())
 def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p of Student's t."""
-    return pd.Series([beta_tail(n / (n + v * v), n / 2, 0.5) if v == v and n > 0 else None for v, n in zip(t, df)], dtype=float)
+    v, n = t.to_numpy(np.float64, na_value=np.nan), df.to_numpy(np.float64, na_value=np.nan)
+    good = ~np.isnan(v) & (n > 0)
+    out = np.full(len(v), np.nan)
+    out[good] = beta_tail(n[good] / (n[good] + v[good] * v[good]), n[good] / 2, np.full(good.sum(), 0.5))
+    return pd.Series(out)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -452,22 +500,43 @@ def merge_sorted_results(parts: list[DataFrame], p: str = "p") -> DataFrame:
     return out.orderBy(F.asc_nulls_last(p))
 
 
-def exact_median(rows: DataFrame, column: str) -> float | None:
-    """The median (the mean of the middle two of an even number), null values left out; None without values.
+def exact_quantiles(rows: DataFrame, column: str, shares: list[float], *by: str) -> DataFrame:
+    """by, share, value: interpolated quantiles of the non-null values of each group (few groups).
 
-    A sketch gives two values that enclose the middle; rows below are only counted, and the exact percentile is taken
-    of the few hundredths of a part in between.
+    A sketch gives two values that enclose each quantile; rows below are only counted, and only the few thousandths
+    of a group in between are ranked.
     """
-    x = rows.filter(F.col(column).isNotNull()).select(F.col(column).alias("x"))
-    low, high = x.agg(F.percentile_approx("x", [0.499, 0.501], 10000).alias("b")).first()["b"] or (None, None)
-    if low is None:
-        return None
-    inside = F.col("x").between(low, high)
-    c = x.agg(F.count_if(F.col("x") < low).alias("below"), F.count_if(inside).alias("inside"), F.count("*").alias("n")).first()
-    place = (c["n"] - 1) / 2 - c["below"]
-    if not 0 <= place <= c["inside"] - 1:
-        raise RuntimeError("the sketch does not enclose the median")
-    return x.filter(inside).agg(F.percentile("x", place / max(1, c["inside"] - 1)).alias("m")).first()["m"]
+    x = rows.filter(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("x"))
+    edges = [min(1.0, max(0.0, q + e)) for q in shares for e in (-0.001, 0.001)]
+    sketch = x.groupBy(*by).agg(F.percentile_approx("x", edges, 10000).alias("e"), F.count("*").alias("n"))
+    ranges = F.array(*(F.struct(F.lit(float(q)).alias("share"), F.col("e")[2 * i].alias("low"), F.col("e")[2 * i + 1].alias("high"), ((F.col("n") - 1) * F.lit(float(q))).alias("place")) for i, q in enumerate(shares)))
+    ranges = durable(sketch.select(*by, ranges.alias("ranges")))
+    with_ranges = x.join(F.broadcast(ranges), list(by)) if by else x.join(F.broadcast(ranges))
+    sides = []
+    for i, q in enumerate(shares):
+        r, v = F.col("ranges")[i], F.col("x")
+        beyond = [F.max(F.when(v < r["low"], v)).alias(f"p{i}"), F.min(F.when(v > r["high"], v)).alias(f"q{i}")]
+        sides += [F.count_if(v < r["low"]).alias(f"b{i}"), F.count_if(v.between(r["low"], r["high"])).alias(f"c{i}"), *beyond, F.first(r["place"]).alias(f"w{i}")]
+    one = [F.struct(F.lit(float(q)).alias("share"), F.col(f"b{i}").alias("below"), F.col(f"c{i}").alias("inside"), F.col(f"p{i}").alias("before"), F.col(f"q{i}").alias("after"), F.col(f"w{i}").alias("place")) for i, q in enumerate(shares)]
+    counts = durable(with_ranges.groupBy(*by).agg(*sides).select(*by, F.explode(F.array(*one)).alias("y")).select(*by, "y.*"))
+    inside = F.filter("ranges", lambda r: F.col("x").between(r["low"], r["high"]))
+    inside = with_ranges.select(*by, "x", F.explode(inside).alias("r")).select(*by, "x", "r.share", "r.place")
+    keys = [*by, "share"]
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy("x")) - 1
+    ranked = inside.withColumn("at", at).join(F.broadcast(counts.select(*keys, "below")), keys).withColumn("at", F.col("at") + F.col("below")).select(*keys, "x", "place", "at")
+    # the values next to the enclosed ones, as a small group's quantile may lie between such
+    for value, place in (("before", F.col("below") - 1), ("after", F.col("below") + F.col("inside"))):
+        ranked = ranked.unionByName(counts.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("x"), "place", place.alias("at")))
+    near = ranked.filter((F.col("at") == F.floor("place")) | (F.col("at") == F.ceil("place")))
+    part = F.col("place") - F.floor("place")
+    value = F.min("x") + (F.max("x") - F.min("x")) * F.first(part)
+    return near.groupBy(*keys).agg(value.alias("value"))
+
+
+def exact_median(rows: DataFrame, column: str) -> float | None:
+    """The median (the mean of the middle two of an even number), null values left out; None without values."""
+    found = exact_quantiles(rows, column, [0.5]).first()
+    return found["value"] if found else None
 
 
 def genomic_control(results: DataFrame, statistic: str = "chisq") -> DataFrame:
@@ -488,8 +557,10 @@ def label_duplicates(markers: DataFrame) -> DataFrame:
 
     Counts are combined before the shuffle and only repeated ids are joined back, so '.' meets in no task."""
     has = [F.max((F.col("type") == t).cast("int")).alias(f"__has{t}") for t in (0, 2)]
-    repeated = markers.filter("rsid <> '.'").groupBy("rsid").agg(*has, F.count("*").alias("__n")).filter("__n > 1").drop("__n")
-    out = markers.join(repeated, "rsid", "left")
+    named = markers.filter("rsid <> '.'")
+    repeated = named.groupBy("rsid").agg(*has, F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    rest = markers.filter("rsid is null or rsid = '.'")
+    out = named.join(repeated, "rsid", "left").unionByName(rest, allowMissingColumns=True)
     two, zero = F.col("__has2") == 1, F.col("__has0") == 1
     suffix = F.when(two & (F.col("type") == 0), "_t0").when((two | zero) & (F.col("type") == 3), "_t3").otherwise("")
     place = F.concat(F.lit("chr"), F.col("chrom").cast("string"), F.lit(":"), F.col("pos").cast("string"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.functions.hashing import BOUND, seeded
+from varloom.operators.equilibrium import with_exact_p
 
 
 def _n(condition: Column) -> Column:
@@ -66,9 +67,10 @@ def hwe_chisq(ref: Column, het: Column, alt: Column) -> Column:
     return F.when((n > 0) & (2 * ref + het > 0) & (2 * alt + het > 0), value)
 
 
-def hardy_weinberg(genotypes: DataFrame) -> DataFrame:
+def hardy_weinberg(genotypes: DataFrame, mid: bool = False) -> DataFrame:
+    """Genotype counts, chi-square and the exact p of every marker (mid: the mid-p)."""
     c = genotype_counts(genotypes)
-    return c.withColumn("chisq", hwe_chisq(F.col("hom_ref"), F.col("het"), F.col("hom_alt")))
+    return with_exact_p(c.withColumn("chisq", hwe_chisq(F.col("hom_ref"), F.col("het"), F.col("hom_alt"))), mid)
 
 
 def site_annotations(genotypes: DataFrame) -> DataFrame:
@@ -128,9 +130,23 @@ def paired_states(evaluated: DataFrame, compared: DataFrame) -> DataFrame:
 
 
 def genotype_concordance(evaluated: DataFrame, compared: DataFrame, variants: DataFrame) -> DataFrame:
-    """Contingency counts by sample (null: all) and filter class (null: raw, else PASS only and others)."""
-    rows = paired_states(evaluated, compared).join(variants.select("variant_id", "filter"), "variant_id")
-    return rows.cube("sample_id", "filter").agg(*_cells()).filter(F.col("filter").isNull() | (F.col("filter") == "PASS"))
+    """Contingency counts by sample, variant type (SNP, INDEL) and filter class.
+
+    all_samples, all_types and raw mark totals, whose sample_id, type or filter is null; rows that are not raw are of
+    PASS sites.  Samples are counted first by type and by whether the site passes; only that small table is rolled up.
+    """
+    kind = F.when((F.length("ref") == 1) & (F.length("alt") == 1), "SNP").otherwise("INDEL")
+    passing = F.coalesce(F.col("filter") == "PASS", F.lit(False))
+    sites = variants.select("variant_id", kind.alias("type"), passing.alias("passing"))
+    counted = paired_states(evaluated, compared).join(sites, "variant_id").groupBy("sample_id", "type", "passing").agg(*_cells())
+    names = [cell_name(2 + i) for i in range(len(STATES) ** 2)]
+    # twice the small table: all sites, and those that pass
+    sides = F.when(F.col("passing"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    both = counted.withColumn("raw", F.explode(sides))
+    sets = [[F.col(c) for c in own] for own in (["sample_id", "type", "raw"], ["sample_id", "raw"], ["type", "raw"], ["raw"])]
+    totals = both.groupingSets(sets, "sample_id", "type", "raw").agg(F.grouping("sample_id").alias("s"), F.grouping("type").alias("t"), *(F.sum(n).alias(n) for n in names))
+    filter_ = F.when(~F.col("raw"), "PASS")
+    return totals.select("sample_id", "type", filter_.alias("filter"), (F.col("s") == 1).alias("all_samples"), (F.col("t") == 1).alias("all_types"), "raw", *names)
 
 
 def _cells() -> list[Column]:
@@ -272,25 +288,6 @@ def permutation_pvalue(baseline: DataFrame, permuted: DataFrame, by: list[str])
     return out.select(*by, (F.col("below") / F.col("n")).alias("p_perm"), F.when(F.col("below") == 0, 1.0 / F.col("n")).alias("bound"))
 
 
-def ibd_estimate(genotypes: DataFrame, least_maf: float) -> DataFrame:
-    """Pairs of samples with shared sites: IBS counts and the moment estimate of allele sharing.
-
-    Sites are reduced to called genotypes of common variants first; the pair join is on the site.
-    """
-    common = allele_freq(genotypes).filter(F.col("maf") >= least_maf).select("variant_id", "af")
-    g = genotypes.filter("dosage is not null").join(common, "variant_id")
-    a = g.select("variant_id", "af", F.col("sample_id").alias("id1"), F.col("dosage").alias("d1"))
-    b = g.select("variant_id", F.col("sample_id").alias("id2"), F.col("dosage").alias("d2"))
-    far = F.abs(F.col("d1") - F.col("d2"))
-    p = F.col("af")
-    rows = a.join(b, "variant_id").filter("id1 < id2")
-    out = rows.groupBy("id1", "id2").agg(
-        _n(far == 2).alias("ibs0"), _n(far == 1).alias("ibs1"), _n(far == 0).alias("ibs2"), F.sum(2 * p * p * (1 - p) * (1 - p)).alias("expected0")
-    )
-    z0 = F.when(F.col("expected0") > 0, F.least(F.lit(1.0), F.col("ibs0") / F.col("expected0")))
-    return out.withColumn("z0", z0)
-
-
 def cost_rollup(jobs: DataFrame, first, last, group: str, price: str, at: str) -> DataFrame:
     """Sum of prices per group in a half-open time window."""
     return jobs.filter((F.col(at) >= first) & (F.col(at) < last)).groupBy(group).agg(F.sum(price).alias("cost"), F.count("*").alias("jobs"))

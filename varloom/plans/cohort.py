@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from varloom.functions import alleles, ranks
-from varloom.operators import annotation, filters, summaries
+from varloom.operators import annotation, filters, kinship, summaries
 from varloom.plans.registry import register
 from varloom.plans.surrogates import WITH, Views
 
@@ -73,9 +73,16 @@ def _(v):
     return six(summaries.site_annotations(v.genotypes), "chisq", "inbreeding")
 
 
-@query("hardy_weinberg", GC + " SELECT variant_id, hom_ref, het, hom_alt, missing, round(chisq, 6) AS chisq FROM hwe")
+# every heterozygote count of each distinct triple, with the logarithm of its probability (up to a constant)
+EXACT = """, tr AS (SELECT DISTINCT hom_ref, het, hom_alt, hom_ref + het + hom_alt AS n, het + 2 * least(hom_ref, hom_alt) AS m FROM gc WHERE hom_ref + het + hom_alt > 0),
+ ps AS (SELECT hom_ref, het, hom_alt, h, h * ln(2) - lgamma(h + 1) - lgamma((m - h) // 2 + 1) - lgamma(n - h - (m - h) // 2 + 1) AS l FROM tr, unnest(range(m % 2, m + 1, 2)) u(h)),
+ ex AS (SELECT hom_ref, het, hom_alt, max(l) AS top, max(CASE WHEN h = het THEN l END) AS seen FROM ps GROUP BY ALL),
+ pv AS (SELECT hom_ref, het, hom_alt, sum(CASE WHEN l <= seen + 1e-7 THEN exp(l - top) ELSE 0 END) / sum(exp(l - top)) AS p_exact FROM ps JOIN ex USING (hom_ref, het, hom_alt) GROUP BY ALL)"""
+
+
+@query("hardy_weinberg", GC + EXACT + " SELECT variant_id, hom_ref, het, hom_alt, missing, round(chisq, 6) AS chisq, round(p_exact, 6) AS p FROM hwe LEFT JOIN pv USING (hom_ref, het, hom_alt)")
 def _(v):
-    return six(summaries.hardy_weinberg(v.genotypes), "chisq")
+    return six(summaries.hardy_weinberg(v.genotypes), "chisq", "p")
 
 
 @query("titv_ratio", """, t AS (SELECT filter, count(*) FILTER (ref || alt IN ('AG', 'GA', 'CT', 'TC')) AS ti, count(*) FILTER (ref || alt NOT IN ('AG', 'GA', 'CT', 'TC')) AS tv
@@ -110,9 +117,15 @@ PAIRED = f""", st AS (SELECT coalesce(a.sample_id, b.sample_id) AS sample_id, co
 CELLS = ", ".join(f"count(*) FILTER (e = '{e}' AND c = '{c}') AS {summaries.cell_name(2 + 6 * i + j)}" for i, e in enumerate(summaries.STATES) for j, c in enumerate(summaries.STATES))
 
 
-@query("genotype_concordance", PAIRED + f""" SELECT sample_id, filter, {CELLS} FROM sv GROUP BY CUBE (sample_id, filter) HAVING filter IS NULL OR filter = 'PASS'""")
+# sites as they come: some without a filter, some indels
+MIXED_SITES = "SELECT variant_id, CASE WHEN variant_id % 7 = 0 THEN NULL ELSE filter END AS filter, ref, CASE WHEN variant_id % 5 = 0 THEN alt || ref ELSE alt END AS alt FROM {variants}"
+
+
+@query("genotype_concordance", PAIRED + f""", ms AS ({MIXED_SITES.replace("{variants}", "variants")}), sf AS (SELECT sample_id, e, c, m.filter, CASE WHEN length(ref) = 1 AND length(alt) = 1 THEN 'SNP' ELSE 'INDEL' END AS type FROM st JOIN ms m USING (variant_id))
+ SELECT sample_id, type, CAST(NULL AS VARCHAR) AS filter, grouping(sample_id) = 1 AS all_samples, grouping(type) = 1 AS all_types, true AS raw, {CELLS} FROM sf GROUP BY CUBE (sample_id, type) UNION ALL
+ SELECT sample_id, type, 'PASS', grouping(sample_id) = 1, grouping(type) = 1, false, {CELLS} FROM sf WHERE filter = 'PASS' GROUP BY CUBE (sample_id, type)""")
 def _(v):
-    return summaries.genotype_concordance(v.genotypes, v.calls2, v.variants)
+    return summaries.genotype_concordance(v.genotypes, v.calls2, v.spark.sql(MIXED_SITES, variants=v.variants))
 
 
 def _ratio_sql(cells, minus=False):
@@ -193,13 +206,26 @@ def _(v):
     return six(summaries.permutation_pvalue(base, permuted, ["code"]), "p_perm", "bound")
 
 
-@query("ibd_estimate", AF + """, c AS (SELECT g.variant_id, sample_id, dosage, f FROM genotypes g JOIN maf m ON g.variant_id = m.variant_id WHERE dosage IS NOT NULL AND maf >= 0.2),
- e AS (SELECT a.sample_id AS id1, b.sample_id AS id2, count(*) FILTER (abs(a.dosage - b.dosage) = 2) AS ibs0, count(*) FILTER (abs(a.dosage - b.dosage) = 1) AS ibs1,
- count(*) FILTER (a.dosage = b.dosage) AS ibs2, sum(2 * a.f * a.f * (1 - a.f) * (1 - a.f)) AS expected0
- FROM c a JOIN c b ON a.variant_id = b.variant_id AND a.sample_id < b.sample_id GROUP BY 1, 2)
- SELECT id1, id2, ibs0, ibs1, ibs2, round(expected0, 6) AS expected0, round(CASE WHEN expected0 > 0 THEN least(1.0, ibs0 / expected0) END, 6) AS z0 FROM e""")
+IBD = AF + """, cs AS (SELECT variant_id, CAST(an - ac AS DOUBLE) AS x, CAST(ac AS DOUBLE) AS y, CAST(an AS DOUBLE) AS t FROM maf WHERE maf >= 0.2),
+ k AS (SELECT avg(2 * x * (x - 1) * y * (y - 1) / d4) AS e00, avg((4 * x * (x - 1) * (x - 2) * y + 4 * y * (y - 1) * (y - 2) * x) / d4) AS e10,
+  avg((x * (x - 1) * (x - 2) * (x - 3) + 4 * x * (x - 1) * y * (y - 1) + y * (y - 1) * (y - 2) * (y - 3)) / d4) AS e20,
+  avg((2 * x * (x - 1) * y + 2 * x * y * (y - 1)) / d3) AS e11, avg((x * (x - 1) * (x - 2) + x * (x - 1) * y + x * y * (y - 1) + y * (y - 1) * (y - 2)) / d3) AS e21
+  FROM (SELECT *, t * (t - 1) * (t - 2) * (t - 3) AS d4, t * (t - 1) * (t - 2) AS d3 FROM cs WHERE t > 3)),
+ c AS (SELECT g.variant_id, sample_id, dosage FROM genotypes g JOIN cs USING (variant_id) WHERE dosage IS NOT NULL),
+ i AS (SELECT a.sample_id AS id1, b.sample_id AS id2, count(*) AS n, count(*) FILTER (abs(a.dosage - b.dosage) = 2) AS ibs0, count(*) FILTER (abs(a.dosage - b.dosage) = 1) AS ibs1,
+  count(*) FILTER (a.dosage = b.dosage) AS ibs2 FROM c a JOIN c b ON a.variant_id = b.variant_id AND a.sample_id < b.sample_id GROUP BY 1, 2 HAVING count(*) >= {shared}),
+ z AS (SELECT *, (ibs1 - z0 * e10 * n) / (e11 * n) AS z1 FROM (SELECT i.*, k.*, ibs0 / (e00 * n) AS z0 FROM i, k)),
+ y AS (SELECT *, (ibs2 - z0 * e20 * n - z1 * e21 * n) / n AS z2 FROM z),
+ y0 AS (SELECT id1, id2, ibs0, ibs1, ibs2, CASE WHEN z0 > 1 THEN [1.0, 0, 0] WHEN z1 > 1 THEN [0.0, 1, 0] WHEN z2 > 1 THEN [0.0, 0, 1] ELSE [z0, z1, z2] END AS z FROM y),
+ y1 AS (SELECT * REPLACE (CASE WHEN z[1] < 0 THEN [0.0, z[2] / (z[2] + z[3]), z[3] / (z[2] + z[3])] ELSE z END AS z) FROM y0),
+ y2 AS (SELECT * REPLACE (CASE WHEN z[2] < 0 THEN [z[1] / (z[1] + z[3]), 0.0, z[3] / (z[1] + z[3])] ELSE z END AS z) FROM y1),
+ y3 AS (SELECT * REPLACE (CASE WHEN z[3] < 0 THEN [z[1] / (z[1] + z[2]), z[2] / (z[1] + z[2]), 0.0] ELSE z END AS z) FROM y2),
+ ibd AS (SELECT id1, id2, ibs0, ibs1, ibs2, z[1] AS z0, z[2] AS z1, z[3] AS z2, z[2] / 2 + z[3] AS pi_hat FROM y3)"""
+
+
+@query("ibd_estimate", IBD.replace("{shared}", "2") + " SELECT id1, id2, ibs0, ibs1, ibs2, round(z0, 6) AS z0, round(z1, 6) AS z1, round(z2, 6) AS z2, round(pi_hat, 6) AS pi_hat FROM ibd WHERE pi_hat >= 0.2")
 def _(v):
-    return six(summaries.ibd_estimate(v.genotypes, 0.2), "expected0", "z0")
+    return six(kinship.ibd_estimate(v.genotypes, 0.2, 0.2, 2), "z0", "z1", "z2", "pi_hat")
 
 
 @query("cost_rollup", """SELECT o_orderpriority AS project, round(sum(o_totalprice), 2) AS cost, count(*) AS jobs FROM orders
@@ -390,9 +416,9 @@ def _(v):
     return filters.extract_marker_sample(v.genotypes, v.variants, v.intervals, v.samples.filter("case_status = 2"), 0.3).select("sample_id", "variant_id", "dosage")
 
 
-@query("hwe_geno_maf_qc", GC + " SELECT variant_id FROM hwe WHERE least(p, 1 - p) >= 0.3 AND missing <= 0.15 * (n + missing) AND coalesce(chisq, 0) <= 8")
+@query("hwe_geno_maf_qc", GC + EXACT + " SELECT variant_id FROM hwe JOIN pv USING (hom_ref, het, hom_alt) WHERE least(p, 1 - p) >= 0.3 AND missing <= 0.15 * (n + missing) AND p_exact >= 0.0112")
 def _(v):
-    return filters.hwe_geno_maf_qc(v.genotypes, 0.3, 0.15, 8.0)
+    return filters.hwe_geno_maf_qc(v.genotypes, 0.3, 0.15, 0.0112)
 
 
 @query("drop_palindromic", "SELECT variant_id FROM variants WHERE ref || alt NOT IN ('AT', 'TA', 'CG', 'GC')")

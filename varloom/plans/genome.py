@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from varloom.operators import graphs, intervals, joins, statistics, summaries
+from varloom.operators import graphs, intervals, joins, kinship, statistics, summaries
 from varloom.plans.cohort import AF, GC, query, six
 from varloom.sources import sinks, text
 
@@ -81,10 +81,17 @@ def _(v):
 # ---- joins
 
 
-@query("annotate_sites", "SELECT v.variant_id, c.clnsig, t.impact FROM variants v LEFT JOIN clinical c ON c.variant_id = v.variant_id AND c.variant_id % 2 = 0 LEFT JOIN transcripts t ON t.variant_id = v.variant_id AND t.k = 0")
+# some sites have a second clinical record, whose columns sort the other way round
+RECORDS = """SELECT variant_id, chrom, pos, ref, alt, clnsig, hgmd FROM {clinical} WHERE variant_id % 2 = 0 UNION ALL
+ SELECT variant_id, chrom, pos, ref, alt, CASE WHEN variant_id % 4 = 0 THEN 'Association' ELSE 'other' END, CASE WHEN variant_id % 8 = 0 THEN 'A' ELSE 'Z' END FROM {clinical} WHERE variant_id % 6 = 0"""
+
+
+@query("annotate_sites", f""", rec AS ({RECORDS.replace("{clinical}", "clinical")}), one AS (SELECT *, row_number() OVER (PARTITION BY chrom, pos, ref, alt ORDER BY clnsig, hgmd) AS rn FROM rec)
+ SELECT v.variant_id, c.clnsig, c.hgmd, t.impact FROM variants v LEFT JOIN one c ON c.chrom = v.chrom AND c.pos = v.pos AND c.ref = v.ref AND c.alt = v.alt AND rn = 1 LEFT JOIN transcripts t ON t.variant_id = v.variant_id AND t.k = 0""")
 def _(v):
     first = v.transcripts.filter("k = 0").join(v.variants.select("variant_id", "ref"), "variant_id")
-    return joins.annotate_sites(v.variants, (v.clinical.filter("variant_id % 2 = 0"), ["clnsig"]), (first, ["impact"])).select("variant_id", "clnsig", "impact")
+    records = v.spark.sql(RECORDS, clinical=v.clinical)
+    return joins.annotate_sites(v.variants, (records, ["clnsig", "hgmd"]), (first, ["impact"])).select("variant_id", "clnsig", "hgmd", "impact")
 
 
 RESULT_VIEWS = """, res AS (SELECT o_orderkey AS result_id, o_orderpriority AS code, v.variant_id, v.chrom, v.pos FROM orders JOIN variants v ON v.variant_id = 1 + o_orderkey % (SELECT count(*) FROM part)),
@@ -510,17 +517,37 @@ def _(v):
 
 @query("unrelated_set")
 def _(v):
-    return graphs.unrelated_set(graphs.related_pairs(v.pairs, 0.25), exact_up_to=6)
+    listed = v.samples.filter("sample_id % 3 = 0").select("sample_id", F.col("trait").alias("rank"))
+    return kinship.unrelated_set(kinship.related_at(v.pairs, 0.25), kinship.ranked_preference(v.samples, listed), exact_up_to=24)
+
+
+@query("greedy_unrelated_set")
+def _(v):
+    return kinship.unrelated_set(kinship.related_at(v.pairs, 0.25))
+
+
+# pairs of a window's markers by joins, then the greedy rule marker by marker
+PRUNED = """, rk AS (SELECT variant_id, chrom, row_number() OVER (PARTITION BY chrom ORDER BY pos, variant_id) - 1 AS r FROM variants),
+ pp AS (SELECT a.chrom, a.r AS r1, b.r AS r2, count(*) AS n, CAST(sum(x.dosage) AS DOUBLE) AS sx, CAST(sum(y.dosage) AS DOUBLE) AS sy, CAST(sum(x.dosage * y.dosage) AS DOUBLE) AS sxy,
+  CAST(sum(x.dosage * x.dosage) AS DOUBLE) AS sxx, CAST(sum(y.dosage * y.dosage) AS DOUBLE) AS syy FROM rk a JOIN rk b ON a.chrom = b.chrom AND b.r > a.r AND b.r < (a.r // 10) * 10 + 100
+  JOIN genotypes x ON x.variant_id = a.variant_id JOIN genotypes y ON y.variant_id = b.variant_id AND y.sample_id = x.sample_id WHERE x.dosage IS NOT NULL AND y.dosage IS NOT NULL GROUP BY 1, 2, 3),
+ lk AS (SELECT chrom, r2, list(r1) AS earlier FROM pp WHERE (n * sxx - sx * sx) * (n * syy - sy * sy) > 0
+  AND pow(n * sxy - sx * sy, 2) > (n * sxx - sx * sx) * (n * syy - sy * sy) * 0.2 * (1 + 1e-12) GROUP BY chrom, r2),
+ gr AS (SELECT DISTINCT chrom, CAST(-1 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS kept FROM rk UNION ALL
+  SELECT gr.chrom, rk.r, CASE WHEN list_has_any(coalesce(earlier, []), kept) THEN kept ELSE list_append(kept, rk.r) END
+  FROM gr JOIN rk ON rk.chrom = gr.chrom AND rk.r = gr.r + 1 LEFT JOIN lk ON lk.chrom = rk.chrom AND lk.r2 = rk.r),
+ lastly AS (SELECT chrom, max_by(kept, r) AS kept FROM gr GROUP BY chrom)
+ SELECT variant_id FROM rk JOIN lastly USING (chrom) WHERE list_contains(kept, r)"""
 
 
-@query("ld_prune")
+@query("ld_prune", PRUNED)
 def _(v):
-    return graphs.ld_prune(v.genotypes, v.variants, 2000, 0.2)
+    return kinship.ld_prune(v.genotypes, v.variants, 100, 10, 0.2)
 
 
 @query("kinship_drop")
 def _(v):
-    return graphs.kinship_drop(v.genotypes, v.variants, 0.25, 0.2, 2000, 0.2)[1]
+    return kinship.kinship_drop(v.genotypes, v.variants, 0.25, 0.2, least_shared=2)[1]
 
 
 @query("pca")

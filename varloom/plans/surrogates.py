@@ -60,7 +60,7 @@ def _plain(sql: str) -> str:
 
 
 #: All views as a WITH clause for DuckDB.
-WITH = "WITH " + ",\n".join(f"{name} AS ({_plain(sql)})" for name, sql in _VIEWS.items())
+WITH = "WITH RECURSIVE " + ",\n".join(f"{name} AS ({_plain(sql)})" for name, sql in _VIEWS.items())
 
 
 class Views:
