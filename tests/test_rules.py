@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varloom.functions import alleles, ranks
-from varloom.operators import filters, graphs, intervals, joins, kinship, statistics, summaries
+from varloom.operators import filters, graphs, intervals, joins, kinship, models, statistics, summaries
 from varloom.sources import sinks, text
 from varloom.streaming import sources as streams
 
@@ -173,8 +173,8 @@ def test_regressions_agree_with_closed_forms(spark):
 
     n = {(d, y): sum(1 for i in range(60) if i % 2 == d and (i * i % 5 > 1) == y) for d in (0, 1) for y in (False, True)}
     want = math.log(n[1, True] * n[0, False] / (n[1, False] * n[0, True]))
-    assert abs(statistics.assoc_logistic(g, samples).first().beta - want) < 1e-6
-    assert abs(statistics.assoc_logistic(g, samples, firth=True).first().beta) < abs(want) + 1e-9
+    assert abs(models.assoc_logistic(g, samples).first().beta - want) < 1e-6
+    assert abs(models.assoc_logistic(g, samples, firth=True).first().beta) < abs(want) + 1e-9
 
 
 def test_concordance_of_equal_sets_is_one(spark):

@@ -182,51 +182,6 @@ def assoc_linear_adjusted(genotypes: DataFrame, samples: DataFrame, trait: str,
     return out.withColumn("p", F.when(F.col("se") > 0, student_p(F.try_divide("beta", "se"), (F.col("n") - size).cast("double"))))
 
 
-def logistic_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, firth: bool, rounds: int = 25) -> tuple[np.ndarray, np.ndarray] | None:
-    """Coefficients and standard errors by IRLS on weighted patterns; with Firth's penalty if asked."""
-    beta = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        v = w * p * (1 - p)
-        information = (x * v[:, None]).T @ x
-        if np.linalg.cond(information) > 1e12:
-            return None
-        inverse = np.linalg.inv(information)
-        residual = w * (y - p)
-        if firth:
-            hat = v * np.einsum("ij,jk,ik->i", x, inverse, x)
-            residual = residual + hat * (0.5 - p)
-        step = inverse @ (x.T @ residual)
-        step = np.clip(step, -5, 5)
-        beta = beta + step
-        if np.abs(step).max() < 1e-8:
-            return beta, np.sqrt(np.diag(inverse))
-    return None if not firth else (beta, np.sqrt(np.diag(inverse)))
-
-
-def assoc_logistic(genotypes: DataFrame, samples: DataFrame, covariates: list[str] = (), firth: bool = False, by: tuple[str, ...] = ("variant_id",), x: str = "dosage") -> DataFrame:
-    """by, n, beta, se, p (Wald) of the tested column in a logistic model of case status (2 against 1).
-
-    Rows are first counted by (predictor, covariates, status), so each model's group is its distinct patterns.
-    """
-    covariates = list(covariates)
-    status = samples.filter("case_status in (1, 2)").select("sample_id", (F.col("case_status") - 1).cast("int").alias("y"), *(F.col(c).cast("double").alias(c) for c in covariates)).dropna()
-    rows = genotypes.filter(F.col(x).isNotNull()).join(status, "sample_id")
-    patterns = rows.groupBy(*by, F.col(x).cast("double").alias("x"), "y", *covariates).agg(F.count("*").cast("double").alias("w"))
-    kinds = {f.name: f.dataType.simpleString() for f in patterns.schema}
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in by), "n long", "beta double", "se double"])
-
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        x = np.column_stack([np.ones(len(group)), group["x"], *(group[c] for c in covariates)]).astype(float)
-        y, w = group["y"].to_numpy(float), group["w"].to_numpy(float)
-        fit = logistic_fit(x, y, w, firth) if 0 < (w * y).sum() < w.sum() else None
-        beta, se = (float(fit[0][1]), float(fit[1][1])) if fit is not None else (None, None)
-        return pd.DataFrame([(*(group[c].iloc[0] for c in by), int(w.sum()), beta, se)], columns=[*by, "n", "beta", "se"])
-
-    out = patterns.groupBy(*by).applyInPandas(one, schema)
-    return out.withColumn("p", F.when(F.col("se") > 0, normal_p(F.try_divide("beta", "se"))))
-
-
 def phewas(genotypes: DataFrame, samples: DataFrame, traits: list[str]) -> DataFrame:
     """All traits against all markers: trait, variant_id, n, slope and r2 in one shuffle."""
     long = samples.unpivot(["sample_id"], [F.col(t).cast("double").alias(t) for t in traits] and traits, "trait", "y").filter("y is not null")
@@ -321,48 +276,6 @@ def burden_regression(scores: DataFrame, samples: DataFrame, trait: str) -> Data
     return sums.select("bin", "n", F.when(dxx > 0, (F.col("sxy") - sx * sy / n) / dxx).alias("beta"))
 
 
-def liu_p(q: float, lambdas: np.ndarray) -> float:
-    """Upper tail of a weighted chi-square sum at q, by matching its first three cumulants to a gamma."""
-    c1, c2, c3 = (float((lambdas**k).sum()) for k in (1, 2, 3))
-    if c2 <= 0:
-        return 1.0
-    # Wilson-Hilferty on the matched chi-square with h degrees of freedom
-    h = c2**3 / c3**2
-    x = max(1e-12, (q - c1) / math.sqrt(2 * c2) * math.sqrt(2 * h) + h)
-    z = ((x / h) ** (1 / 3) - (1 - 2 / (9 * h))) / math.sqrt(2 / (9 * h))
-    return 0.5 * math.erfc(z / math.sqrt(2))
-
-
-def skat(genotypes: DataFrame, samples: DataFrame, loci: DataFrame, trait: str, a: float = 1.0, b: float = 25.0, most_maf: float = 0.05) -> DataFrame:
-    """Variance-component test per bin: Q = sum of squared weighted scores, p from the kernel's eigenvalues.
-
-    Scores and the loci x loci covariance of a bin are sums in SQL; one bin's matrix (loci of a gene) is solved
-    in Python.
-    """
-    af = genotypes.groupBy("variant_id").agg(F.avg("dosage").alias("m")).withColumn("maf", F.least(F.col("m") / 2, 1 - F.col("m") / 2))
-    kept = loci.join(af.filter((F.col("maf") > 0) & (F.col("maf") <= most_maf)), "variant_id").select("bin", "variant_id", "m", "maf")
-    y = samples.select("sample_id", F.col(trait).cast("double").alias("y")).filter("y is not null")
-    null = y.agg(F.avg("y").alias("mean"), F.var_samp("y").alias("s2"), F.count("*").alias("samples"))
-    g = genotypes.filter("dosage is not null").join(kept, "variant_id").join(y.join(F.broadcast(null)), "sample_id").withColumn("x", F.col("dosage") - F.col("m"))
-    scores = g.groupBy("bin", "variant_id", "maf").agg(F.sum(F.col("x") * (F.col("y") - F.col("mean"))).alias("u"), F.first("s2").alias("s2"))
-    other = g.select("bin", "sample_id", F.col("variant_id").alias("v2"), F.col("x").alias("x2"))
-    cov = g.join(other, ["bin", "sample_id"]).groupBy("bin", "variant_id", "v2").agg(F.sum(F.col("x") * F.col("x2")).alias("c"))
-    table = scores.join(cov, ["bin", "variant_id"])
-
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        own = group.drop_duplicates("variant_id").sort_values("variant_id")
-        index = {v: i for i, v in enumerate(own["variant_id"])}
-        weight = own["maf"].to_numpy() ** (a - 1) * (1 - own["maf"].to_numpy()) ** (b - 1) * math.gamma(a + b) / math.gamma(a) / math.gamma(b)
-        k = np.zeros((len(index), len(index)))
-        for v1, v2, c in zip(group["variant_id"], group["v2"], group["c"]):
-            k[index[v1], index[v2]] = c
-        q = float(((weight * own["u"].to_numpy()) ** 2).sum())
-        k = weight[:, None] * (k + k.T) / 2 * weight[None, :] * own["s2"].iloc[0]
-        return pd.DataFrame([(own["bin"].iloc[0] if "bin" in own else None, len(index), q, liu_p(q, np.clip(np.linalg.eigvalsh(k), 0, None)))], columns=["bin", "loci", "q", "p"])
-
-    return table.groupBy("bin").applyInPandas(one, "bin string, loci long, q double, p double")
-
-
 def outer_sums(rows: DataFrame, column: str) -> DataFrame:
     """i, j, value: the sum of the outer products of an array column with itself; partial sums are made in tasks."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from varloom.operators import graphs, intervals, joins, kinship, statistics, summaries
+from varloom.operators import graphs, intervals, joins, kernel, kinship, models, statistics, summaries
 from varloom.plans.cohort import AF, GC, query, six
 from varloom.sources import sinks, text
 
@@ -352,12 +352,12 @@ def _(v):
 
 @query("assoc_logistic")
 def _(v):
-    return statistics.assoc_logistic(v.genotypes, v.samples, ["sex"])
+    return models.assoc_logistic(v.genotypes, v.samples, ["sex"])
 
 
 @query("assoc_firth")
 def _(v):
-    return statistics.assoc_logistic(v.genotypes, v.samples, firth=True)
+    return models.assoc_logistic(v.genotypes, v.samples, firth=True)
 
 
 @query("phewas", """, lg AS (SELECT sample_id, 'sex' AS trait, CAST(sex AS DOUBLE) AS y FROM samples UNION ALL SELECT sample_id, 'trait', trait FROM samples),
@@ -408,7 +408,13 @@ def _(v):
 
 @query("skat")
 def _(v):
-    return statistics.skat(v.genotypes, v.samples, v.variants.select("variant_id", F.col("gene").alias("bin")), "trait", 0.5, 0.5, 0.5)
+    return kernel.skat(v.genotypes, v.samples, v.variants.select("variant_id", F.col("gene").alias("bin")), "trait", ["sex"])
+
+
+@query("skat_binary")
+def _(v):
+    status = v.samples.withColumn("status", F.col("case_status") - 1)
+    return kernel.skat(v.genotypes, status, v.variants.select("variant_id", F.col("gene").alias("bin")), "status", ["sex"], binary=True)
 
 
 @query("whole_genome_regression")
