@@ -124,3 +124,34 @@ def test_concordance_totals_and_null_filters(spark):
 def test_ancestry_without_a_large_class(spark):
     rows = spark.createDataFrame([(1, [0.1, 0.2], "x"), (2, [0.3, 0.1], None)], "vec_id long, embedding array<double>, label string")
     assert [(r.ancestry, r.posterior) for r in graphs.ancestry_qda(rows, 2, 0.5).collect()] == [("Other", None)] * 2
+
+
+def test_prefix_maxima_are_carried_over_ranges(spark):
+    from varloom.operators import intervals
+
+    rng = random.Random(6)
+    rows = [(c, i, rng.randint(0, 10_000) if rng.random() < 0.9 else None) for c in (1, 2, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "chrom int, at long, x long")
+    spans = [(c, s, s + rng.choice([0, 5, 60, 900])) for c in (1, 2) for s in (rng.randint(0, 40_000) for _ in range(500))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.chrom, r.at): r.top for r in intervals.with_prefix_maximum(df, ["chrom"], ["at"], top="x").collect()}
+        merged = sorted(map(tuple, intervals.merge_intervals(spark.createDataFrame(spans, "chrom int, start long, stop long"), 3).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for c in (1, 2, None):
+        top = None
+        for k, i, x in rows:
+            if k == c:
+                assert got[c, i] == top
+                top = x if top is None else top if x is None else max(top, x)
+    want = []
+    for c, a, b in sorted((c, max(0, a - 3), b + 3) for c, a, b in spans):
+        if want and want[-1][0] == c and a <= want[-1][2]:
+            want[-1] = (c, want[-1][1], max(want[-1][2], b))
+        else:
+            want.append((c, a, b))
+    assert merged == want

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from varloom.operators.durable import durable
+
 BIN = 100_000
 #: Bins grow by this factor from level to level; an interval uses the first level where it has few bins.
 FACTOR = 64
@@ -68,15 +70,39 @@ def range_join(points: DataFrame, regions: DataFrame, chrom: str = "chrom", pos:
     return at.join(binned, on).select(*points.columns, *named.columns)
 
 
+def with_prefix_maximum(rows: DataFrame, by: list[str], order: list[str], **values: str) -> DataFrame:
+    """The rows with, for each name and column of `values`, the column's maximum over the rows before in order, within
+    `by`; null for the first.
+
+    Rows are dealt to ranges; each range's maxima are a row of a small table, over which they are carried on, so that no
+    task holds all rows of a key.  The result is checkpointed, as its ranges must stay as they are.
+    """
+    ranged = rows.repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id())
+    ranged = durable(ranged)
+    tops = ranged.groupBy(*by, "__range").agg(*(F.max(c).alias(f"__top_{n}") for n, c in values.items()))
+    earlier = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    carried = tops.select(*(F.col(c).alias(f"__by_{c}") for c in by), F.col("__range").alias("__of"), *(F.max(f"__top_{n}").over(earlier).alias(f"__carried_{n}") for n in values))
+    own = Window.partitionBy(*by, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.withColumns({f"__own_{n}": F.max(c).over(own) for n, c in values.items()})
+    same = out["__range"] == carried["__of"]
+    for c in by:
+        same = same & out[c].eqNullSafe(carried[f"__by_{c}"])
+    both = out.join(carried, same)
+    return both.select(*rows.columns, *(F.greatest(f"__own_{n}", f"__carried_{n}").alias(n) for n in values))
+
+
 def merge_intervals(regions: DataFrame, pad: int = 0) -> DataFrame:
-    """chrom, start, stop of the union; overlapping and touching intervals become one.  Bounds are sorted."""
+    """chrom, start, stop of the union; overlapping and touching intervals become one.  Bounds are sorted.
+
+    An interval opens an island where it starts behind the furthest stop before it, and belongs to the last island
+    opened: both are maxima over the intervals before, carried from range to range.
+    """
     lo, hi = F.least("start", "stop"), F.greatest("start", "stop")
     rows = regions.select("chrom", F.greatest(lo - pad, F.lit(0)).cast("long").alias("start"), (hi + pad).cast("long").alias("stop"))
-    order = Window.partitionBy("chrom").orderBy("start", "stop")
-    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("new", (before.isNull() | (F.col("start") > before)).cast("int"))
-    rows = rows.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy("chrom", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("island")
+    reached = with_prefix_maximum(rows.groupBy("chrom", "start").agg(F.max("stop").alias("stop")), ["chrom"], ["start"], before="stop")
+    opened = reached.withColumn("opens", F.when(F.col("before").isNull() | (F.col("start") > F.col("before")), F.col("start")))
+    placed = with_prefix_maximum(opened.drop("before"), ["chrom"], ["start"], last="opens")
+    return placed.groupBy("chrom", F.coalesce("opens", "last").alias("start")).agg(F.max("stop").alias("stop"))
 
 
 def in_regions(rows: DataFrame, regions: DataFrame, how: str = "left_semi", chrom: str = "chrom", start: str = "pos", stop: str | None = None) -> DataFrame:
@@ -95,7 +121,7 @@ def in_regions(rows: DataFrame, regions: DataFrame, how: str = "left_semi", chro
             if how == "left_anti" or level != levels[-1]:
                 rest = one.join(r, on, "left_anti").drop("__b")
         return (rest if how == "left_anti" else parts).drop("__c")
-    spans = rows.withColumn("__id", F.monotonically_increasing_id())
+    spans = durable(rows.withColumn("__id", F.monotonically_increasing_id()))  # both sides below must see the same ids
     own = _binned_intervals(spans.select("__id", F.col(chrom).alias("c"), F.col(start).alias("a"), F.col(stop).alias("b")), "c", "a", "b")
     # spans and regions meet on the finest common level: both sides are binned on every level of the other
     s = own.select("__id", F.col("__chrom").alias("sc"), F.col("a"), F.col("b"))
@@ -119,14 +145,12 @@ def split_intervals(regions: DataFrame, chunks: int, pad: int = 0) -> DataFrame:
     """interval_id, chunk: merged intervals dealt in order into `chunks` runs of equal number; every original
     interval gets the chunk of the merged one that holds it."""
     merged = merge_intervals(regions, pad)
-    # merged intervals per chromosome are counted first, so that ranks need no global sort
-    per = merged.groupBy("chrom").agg(F.count("*").alias("m"))
-    before = per.withColumn("before", F.coalesce(F.sum("m").over(Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    before = before.withColumn("total", F.sum("m").over(Window.partitionBy()))
-    rank = F.row_number().over(Window.partitionBy("chrom").orderBy("start"))
-    ranked = merged.withColumn("rn", rank).join(F.broadcast(before), "chrom")
-    chunk = F.floor((F.col("before") + F.col("rn") - 1) / F.ceil(F.col("total") / F.lit(chunks))) + 1
-    ranked = ranked.select("chrom", "start", "stop", chunk.cast("int").alias("chunk"))
+    ranked = position_rank(merged.withColumn("pos", F.col("start")))
+    per = ranked.select("chrom", "total").distinct()  # a row for each chromosome
+    before = per.withColumn("before", F.coalesce(F.sum("total").over(Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = before.withColumn("all", F.sum("total").over(Window.partitionBy())).drop("total")
+    chunk = F.floor((F.col("before") + F.col("rank") - 1) / F.ceil(F.col("all") / F.lit(chunks))) + 1
+    ranked = ranked.join(F.broadcast(before), "chrom").select("chrom", "start", "stop", chunk.cast("int").alias("chunk"))
     points = regions.withColumn("__at", F.least("start", "stop"))
     return range_join(points, ranked, pos="__at").select("interval_id", F.col("r_chunk").alias("chunk"))
 

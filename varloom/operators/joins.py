@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions import alleles
 from varloom.functions.hashing import BOUND, seeded
-from varloom.operators.intervals import nearest_gene, range_join
+from varloom.operators.intervals import nearest_gene, range_join, with_prefix_maximum
 
 SITE = ["chrom", "pos", "ref", "alt"]
 
@@ -119,14 +119,24 @@ def first_file_samples(samples: DataFrame) -> DataFrame:
 
 
 def marker_order_check(markers: DataFrame) -> DataFrame:
-    """Markers of the second file that come after one which the first file has later."""
+    """Markers of the second file that come after one which the first file has later, with `beyond`, the furthest such
+    marker, and its line in the first file."""
     def ranked(file: int, name: str) -> DataFrame:
         own = markers.filter(F.col("file") == file)
         return own.select("chrom", "marker", F.col("line").alias(name))
 
-    both = ranked(0, "first").join(ranked(1, "second"), ["chrom", "marker"])
-    before = F.max("first").over(Window.partitionBy("chrom").orderBy("second").rowsBetween(Window.unboundedPreceding, -1))
-    return both.withColumn("before", before).filter("first < before").select("chrom", "marker", "first", "second")
+    both = ranked(0, "first").join(ranked(1, "second"), ["chrom", "marker"]).withColumn("__at", F.struct("first", "marker"))
+    seen = with_prefix_maximum(both, ["chrom"], ["second", "marker"], furthest="__at")
+    late = seen.filter(F.col("first") < F.col("furthest.first"))
+    return late.select("chrom", "marker", "first", "second", F.col("furthest.marker").alias("beyond"), F.col("furthest.first").alias("beyond_first"))
+
+
+def swapped_markers(late: DataFrame, markers: DataFrame) -> DataFrame:
+    """chrom, marker, swapped: every marker of the first file that a late marker (of marker_order_check) comes after only
+    in the second one's order, the furthest one included."""
+    spans = late.select("chrom", "marker", (F.col("first") + 1).alias("start"), F.col("beyond_first").alias("stop"))
+    points = markers.filter("file = 0").select("chrom", F.col("line").alias("pos"), F.col("marker").alias("swapped"))
+    return range_join(points, spans).select("chrom", F.col("r_marker").alias("marker"), "swapped")
 
 
 def merge_plink(inputs: list[DataFrame]) -> tuple[DataFrame, DataFrame]:

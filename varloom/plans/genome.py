@@ -175,12 +175,26 @@ def _(v):
     return joins.first_file_samples(v.genotypes.select("sample_id", (F.col("variant_id") % 4).alias("file")).distinct())
 
 
-@query("marker_order_check", """, b AS (SELECT chrom, variant_id AS marker, pos AS first, pos + CASE WHEN variant_id % 9 = 0 THEN 2000 ELSE 0 END AS second FROM variants),
- x AS (SELECT *, max(first) OVER (PARTITION BY chrom ORDER BY second ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b) SELECT chrom, marker, first, second FROM x WHERE first < before""")
-def _(v):
+LATE = """, b AS (SELECT chrom, variant_id AS marker, pos AS first, pos + CASE WHEN variant_id % 9 = 0 THEN 2000 ELSE 0 END AS second FROM variants),
+ x AS (SELECT *, max({'first': first, 'marker': marker}) OVER (PARTITION BY chrom ORDER BY second, marker ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b),
+ late AS (SELECT chrom, marker, first, second, before.marker AS beyond, before.first AS beyond_first FROM x WHERE first < before.first)"""
+
+
+def _two_files(v):
     a = v.variants.select("chrom", F.col("variant_id").alias("marker"), F.lit(0).alias("file"), F.col("pos").alias("line"))
     b = v.variants.select("chrom", F.col("variant_id").alias("marker"), F.lit(1).alias("file"), (F.col("pos") + F.when(F.col("variant_id") % 9 == 0, 2000).otherwise(0)).alias("line"))
-    return joins.marker_order_check(a.unionByName(b))
+    return a.unionByName(b)
+
+
+@query("marker_order_check", LATE + " SELECT * FROM late")
+def _(v):
+    return joins.marker_order_check(_two_files(v))
+
+
+@query("swapped_markers", LATE + " SELECT l.chrom, l.marker, b.marker AS swapped FROM late l JOIN b ON b.chrom = l.chrom AND b.first > l.first AND b.first <= l.beyond_first")
+def _(v):
+    files = _two_files(v)
+    return joins.swapped_markers(joins.marker_order_check(files), files)
 
 
 @query("merge_plink", """, k AS (SELECT sample_id FROM genotypes INTERSECT SELECT sample_id FROM calls2 WHERE sample_id % 5 <> 0), u AS (SELECT sample_id, variant_id, dosage, 0 AS f FROM genotypes UNION ALL SELECT sample_id, variant_id, dosage, 1 FROM calls2 WHERE sample_id % 5 <> 0),
