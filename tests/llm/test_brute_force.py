@@ -238,10 +238,10 @@ def test_chat(spark):
 def plain_topk(rows, k=20):
     rows = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows]
     out = []
-    for q, a in rows:
-        if q % 20 == 0:
-            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)[:k]
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    for at, (q, a) in enumerate(rows):
+        if q is not None and q % 20 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i is None, i) for n, (i, b) in enumerate(rows) if n != at)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, _, i) in enumerate(scored)]
     return bag(out)
 
 
@@ -256,10 +256,14 @@ def test_topk(spark):
 def test_topk_ties_nulls_and_wide_values(spark):
     inf, nan = float("inf"), float("nan")
     same = [(i, [1.0, -1.0]) for i in range(0, 300)]
-    bad = [(1000, None), (1020, [1.0, None]), (1040, [nan, 1.0]), (1060, [inf, 1.0]), (None, [1.0, 1.0])]
-    df = spark.createDataFrame(same + bad + same[:50], "vec_id long, embedding array<double>")
+    bad = [(1000, None), (1020, [1.0, None]), (1040, [nan, 1.0]), (1060, [inf, 1.0])]
+    loose = [(None, [1.0, 1.0]), (None, [3.0, -1.0])]
+    df = spark.createDataFrame(same + bad + loose + same[:50], "vec_id long, embedding array<double>")
     got = bag(topk.top_k(df, topk.F.col("id") % 20 == 0, shard_rows=64).collect())
-    assert got == plain_topk(same)
+    assert got == plain_topk(same + loose + same[:50])  # rows that repeat an id are rows of their own
+    named = [(0, [1.0, 0.0]), (5, [1.0, 0.0]), (5, [0.5, 0.0]), (7, [0.25, 0.0]), (0, [2.0, 0.0])]
+    extra = spark.createDataFrame(named, df.schema).selectExpr("*", "1 as id", "2 as at", "'x' as vector", "3 as width", "4 as kth")
+    assert bag(topk.top_k(extra, topk.F.col("id") % 20 == 0).collect()) == plain_topk(named)
     huge = [(0, [1e12, -3.0]), (1, [1e3, 5.25]), (2, [-1e3, 1.0]), (20, [0.5, 0.0])]
     got = topk.top_k(spark.createDataFrame(huge, df.schema), topk.F.col("id") % 20 == 0).collect()
     assert bag(got) == plain_topk(huge)

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from varloom.llm.common import durable
+
 LEAF = 64
 #: Values in the seed set that is broadcast: rows x dimensions at most.
 SEED_VALUES = 65_536
@@ -127,7 +129,8 @@ def integers(x: np.ndarray, kind) -> np.ndarray:
 
 
 def quantized(vectors: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
-    """id, vector of floor(scale * x); one row per id (the smallest vector, if rows disagree)."""
+    """at, id, vector of floor(scale * x); `at` numbers the rows in the order of their ids, so that rows that repeat an id
+    stay apart and ties by `at` are ties by id."""
     x: Column = F.col(vector_column).cast("array<double>")
     sound = F.forall(x, lambda y: y.isNotNull() & ~F.isnan(y) & (F.abs(y) < F.lit(float("inf"))))
 
@@ -136,10 +139,12 @@ def quantized(vectors: DataFrame, id_column: str, vector_column: str, scale: flo
     def whole(y: Column) -> Column:  # doubles beyond 2^53 are whole already
         return F.when(F.abs(y) < F.lit(2.0**53), F.floor(y).cast("double")).otherwise(y)
 
-    rows = vectors.filter(F.col(id_column).isNotNull() & x.isNotNull() & sound).select(
+    rows = vectors.filter(x.isNotNull() & sound).select(
         F.col(id_column).cast("long").alias("id"), F.transform(x, lambda y: whole(F.least(F.greatest(F.lit(scale) * y, F.lit(-edge)), F.lit(edge)))).alias("vector")
     )
-    return rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    order = [F.col("id").asc_nulls_last(), F.xxhash64("vector")]
+    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return durable(spread.select(F.monotonically_increasing_id().alias("at"), "id", "vector"))
 
 
 def top_k(
@@ -154,15 +159,19 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k highest integer inner products, ties to the smaller id.
 
-    is_query is a condition on the column `id`.  Rows with a null id, and vectors that are null or hold null,
+    is_query is a condition on the column `id`.  A row without an id is found (as null, last in ties).  Vectors that are null or hold null,
     NaN or infinite components, take no part.  Only vectors of equal length are compared.  Rows that repeat an
-    id count once (the smallest vector stands).  Fewer than k candidates give fewer rows; an empty table gives
-    none.  Scores beyond a long are held at its ends.  Other columns are ignored.
+    id are rows of their own: each asks, and is found by all rows but itself.  Fewer than k candidates give fewer rows; an
+    empty table gives none.  Scores beyond a long are held at its ends.  Other columns are ignored.
     """
-    rows = quantized(vectors, id_column, vector_column, scale).withColumn("width", F.size("vector"))
-    n = vectors.count()
+    named = quantized(vectors, id_column, vector_column, scale)
+    n = named.count()
+    rows = named.withColumn("width", F.size("vector"))
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n // (20 * block_rows)))
-    asked = rows.filter(is_query)
+    asked = rows.filter(is_query).drop("id")
+    # from here on rows go by `at`, which stands for the id
+    rows = rows.withColumn("id", F.col("at")).drop("at")
+    asked = asked.withColumnRenamed("at", "id").select("id", "vector", "width")
 
     # bounded seed set: gives every query a first k-th score to carry along
     widest = rows.agg(F.max("width")).first()[0] or 1
@@ -218,26 +227,25 @@ def top_k(
         .applyInPandas(one_pair, "query_id long, vec_id long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ids = named.select("at", "id")
+    best = best.join(ids.toDF("query_id", "asked"), "query_id").join(ids.toDF("vec_id", "found"), "vec_id")
+    return best.select(F.col("asked").alias("query_id"), "rank", F.col("found").alias("vec_id"), "score")
 
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL
     AND list_count(embedding) = len(embedding)
     AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0
+  FROM v q JOIN v c ON q.r <> c.r AND q.vec_id % 20 = 0
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+  SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
