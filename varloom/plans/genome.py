@@ -547,11 +547,11 @@ def _(v):
 
 
 # pairs of a window's markers by joins, then the greedy rule marker by marker
-PRUNED = """, rk AS (SELECT variant_id, chrom, row_number() OVER (PARTITION BY chrom ORDER BY pos, variant_id) - 1 AS r FROM variants),
+PRUNED = """, rk AS MATERIALIZED (SELECT variant_id, chrom, row_number() OVER (PARTITION BY chrom ORDER BY pos, variant_id) - 1 AS r FROM variants),
  pp AS (SELECT a.chrom, a.r AS r1, b.r AS r2, count(*) AS n, CAST(sum(x.dosage) AS DOUBLE) AS sx, CAST(sum(y.dosage) AS DOUBLE) AS sy, CAST(sum(x.dosage * y.dosage) AS DOUBLE) AS sxy,
   CAST(sum(x.dosage * x.dosage) AS DOUBLE) AS sxx, CAST(sum(y.dosage * y.dosage) AS DOUBLE) AS syy FROM rk a JOIN rk b ON a.chrom = b.chrom AND b.r > a.r AND b.r < (a.r // 10) * 10 + 100
   JOIN genotypes x ON x.variant_id = a.variant_id JOIN genotypes y ON y.variant_id = b.variant_id AND y.sample_id = x.sample_id WHERE x.dosage IS NOT NULL AND y.dosage IS NOT NULL GROUP BY 1, 2, 3),
- lk AS (SELECT chrom, r2, list(r1) AS earlier FROM pp WHERE (n * sxx - sx * sx) * (n * syy - sy * sy) > 0
+ lk AS MATERIALIZED (SELECT chrom, r2, list(r1) AS earlier FROM pp WHERE (n * sxx - sx * sx) * (n * syy - sy * sy) > 0
   AND pow(n * sxy - sx * sy, 2) > (n * sxx - sx * sx) * (n * syy - sy * sy) * 0.2 * (1 + 1e-12) GROUP BY chrom, r2),
  gr AS (SELECT DISTINCT chrom, CAST(-1 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS kept FROM rk UNION ALL
   SELECT gr.chrom, rk.r, CASE WHEN list_has_any(coalesce(earlier, []), kept) THEN kept ELSE list_append(kept, rk.r) END
