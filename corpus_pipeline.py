@@ -37,10 +37,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     groups = simhash.similar_rows(docs.select("doc_id", "text"), size=5)
     ranked = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("x")
-    kept = groups.groupBy("group").agg(ranked).select(F.col("x.hash").alias("__kept"), F.col("x.doc_id").alias("__kept_id"))
-    marked = docs.withColumn("__hash", simhash.text_hash("text"))
-    rows = marked.join(kept, (marked["__hash"] == kept["__kept"]) & marked["doc_id"].eqNullSafe(kept["__kept_id"]))
-    first = F.row_number().over(Window.partitionBy("__hash", "doc_id").orderBy(F.xxhash64(*docs.columns)))
+    name = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("null")).alias("__name")
+    kept = groups.groupBy("group").agg(ranked).select(F.col("x.hash").alias("__hash"), F.col("x.doc_id").alias("doc_id")).select("__hash", name)
+    # the window goes by the keys of the join, so that texts are shuffled once
+    rows = docs.select("*", simhash.text_hash("text").alias("__hash"), name).join(kept, ["__hash", "__name"])
+    first = F.row_number().over(Window.partitionBy("__hash", "__name").orderBy(F.xxhash64(*docs.columns)))
     return rows.withColumn("__first", first).filter("__first = 1").select(*docs.columns)
 
 
