@@ -29,9 +29,22 @@ def tasks_for(rows: int, per_task: int = ROWS_A_TASK) -> int:
     return max(LEAST_TASKS, rows // per_task)
 
 
+#: Spark's setting to remove the shuffle files of a query once it has ended.
+REMOVES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """durable, in as many tasks as its rows need, whatever the number of shuffle partitions that made it."""
-    df = durable(df)
+    """durable, in as many tasks as its rows need, whatever the number of shuffle partitions that made it.
+
+    Nothing reads the shuffles behind a reliable checkpoint again, so Spark is told to remove them when it is written.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(REMOVES_SHUFFLES, None)
+    conf.set(REMOVES_SHUFFLES, "true")
+    try:
+        df = durable(df.select("*"))  # a query of its own, made under the setting
+    finally:
+        conf.unset(REMOVES_SHUFFLES) if before is None else conf.set(REMOVES_SHUFFLES, before)
     return df.coalesce(tasks_for(df.count()))
 
 

@@ -545,7 +545,7 @@ class Texts:
 
         texts = self.of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-        return durable(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"))
+        return settled(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"))
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """node, shingles: the lower halves of the hashes of a text's distinct shingles."""
