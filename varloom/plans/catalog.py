@@ -1,3 +1,3 @@
 """Importing this module registers every query of the library."""
 
-from varloom.plans import cohort, genome  # noqa: F401
+from varloom.plans import cohort, genome, panel  # noqa: F401
