@@ -122,18 +122,24 @@ def fit(x: np.ndarray, grade: np.ndarray, grades: int, l2: float = 1e-3, rounds:
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text, grade of a bounded sample: 0 clean, 1 toxic, 2 toxic and of low quality.
 
-    Labels with a null key or null toxicity are left out; labels that repeat a key count once, with the worst.
+    Labels with a null key or null toxicity are left out; labels that repeat a key count once, with the worst.  Of
+    documents that repeat a labelled key the least text counts, so at most SAMPLE_ROWS rows come out.
     """
     toxic, quality = F.coalesce("toxic", F.lit(0)), F.coalesce("quality", F.lit(1))
     grade = F.when(toxic > 0, F.when(quality > 0, 1).otherwise(2)).otherwise(0)
     sample = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(grade).alias("grade"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     # at most SAMPLE_ROWS pairs of numbers are broadcast
-    return docs.select("doc_id", empty_for_null("text").alias("text")).join(F.broadcast(sample), "doc_id").select("text", "grade")
+    rows = docs.select("doc_id", empty_for_null("text").alias("text")).join(F.broadcast(sample), "doc_id")
+    return rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text")).select("text", "grade")
 
 
 def train(sample: DataFrame, grades: int = 3, most_features: int = FEATURES) -> Model:
-    """Fit on rows text, grade (0 to grades - 1); the caller bounds their number."""
+    """Fit on rows text, grade (0 to grades - 1); the caller bounds their number.
+
+    Texts are not null (empty ones have no features); repeated rows count as often as they occur; features of equal G
+    go by name.  Without rows, or without a telling feature, the model grades all texts alike.
+    """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, list[int]] = {}
@@ -207,4 +213,5 @@ def score(docs: DataFrame, model: Model, reject_at: float = 0.5, keep: tuple[str
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """What `score` gives for docs, by a model fitted on their `labelled` rows; without labels nothing is rejected."""
     return score(docs, train(labelled(docs, labels)))
