@@ -175,3 +175,28 @@ def scan_many(spark: SparkSession, data: list[str], companions: list[str]) -> Da
     if not both.count() == len(data) == len(companions):
         raise ValueError("inputs and companions do not pair up")
     return both
+
+
+def scan_ped(lines: DataFrame) -> DataFrame:
+    """fid, iid, father, mother, sex, pheno, calls of .ped lines: calls is an array of (a1, a2) in marker order.
+
+    Fields go by blanks; 0 alleles, -9 phenotypes and 0 parents are missing.  Comments and empty lines are left out.
+    """
+    f = F.col("f")
+    rows = lines.filter(~F.trim("value").startswith("#") & (F.trim("value") != "")).select(F.split(F.trim("value"), "\\s+").alias("f"))
+    known = lambda i: F.nullif(F.get(f, i), F.lit("0"))
+    markers = F.floor((F.size(f) - 6) / 2).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), markers - 1), lambda i: F.struct(known(2 * i + 6).alias("a1"), known(2 * i + 7).alias("a2")))
+    calls = F.when(markers > 0, pairs).otherwise(F.slice(pairs, 1, 0))
+    pheno = F.nullif(F.get(f, F.lit(5)).try_cast("double"), F.lit(-9.0))
+    return rows.select(f[0].alias("fid"), f[1].alias("iid"), known(F.lit(2)).alias("father"), known(F.lit(3)).alias("mother"), F.get(f, F.lit(4)).try_cast("int").alias("sex"), pheno.alias("pheno"), calls.alias("calls"))
+
+
+def melt_ped(people: DataFrame, markers: DataFrame) -> DataFrame:
+    """iid, id, dosage: copies of the marker's a1 in each call, null where an allele is missing or not the marker's.
+
+    `markers` holds at (from 0, the order of the calls), id, a1 and a2.
+    """
+    rows = people.select("iid", F.posexplode("calls").alias("at", "call")).join(markers.select("at", "id", "a1", "a2"), "at")
+    copies = lambda c: F.when(c == F.col("a1"), 1).when(c == F.col("a2"), 0)
+    return rows.select("iid", "id", (copies(F.col("call.a1")) + copies(F.col("call.a2"))).alias("dosage"))
