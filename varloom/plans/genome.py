@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from varloom.operators import graphs, intervals, joins, kernel, kinship, models, statistics, summaries
+from varloom.operators.durable import shared_folder
 from varloom.plans.cohort import AF, GC, query, six
 from varloom.sources import sinks, text
 
@@ -611,6 +612,27 @@ def _(v):
     return s.select("chrom", "pos", "id", "ref", F.col("alts")[0].alias("alt"), F.col("info")["CLNSIG"].alias("clnsig"), F.size("calls").alias("calls"))
 
 
+@query("scan_vcf_files", "SELECT CAST(chrom AS VARCHAR) AS chrom, pos, 'v' || variant_id AS id, ref, alt, clnsig, CAST(10 AS INT) AS calls FROM clinical WHERE variant_id IN (SELECT variant_id FROM genotypes)")
+def _(v):
+    folder = shared_folder(v.spark, "calls")
+    vcf_lines(v).write.text(folder)
+    s = text.scan_vcf(text.read_lines(v.spark, folder))
+    return s.select("chrom", "pos", "id", "ref", F.col("alts")[0].alias("alt"), F.col("info")["CLNSIG"].alias("clnsig"), F.size("calls").alias("calls"))
+
+
+# the markers of a sample are folded into ten, as a line holds every marker
+@query("scan_ped", """, cell AS (SELECT sample_id, variant_id % 10 AS m, max(dosage) AS d FROM genotypes GROUP BY 1, 2), people AS (SELECT DISTINCT sample_id FROM genotypes)
+ SELECT 'i' || p.sample_id AS iid, 'm' || k.m AS id, d AS dosage FROM people p CROSS JOIN (SELECT unnest(range(0, 10)) AS m) k LEFT JOIN cell c ON c.sample_id = p.sample_id AND c.m = k.m""")
+def _(v):
+    cells = v.genotypes.groupBy("sample_id").agg(*(F.max(F.when(F.col("variant_id") % 10 == i, F.col("dosage"))).alias(f"d{i}") for i in range(10)))
+    call = lambda c: F.when(c == 0, "C C").when(c == 1, "A C").when(c == 2, "A A").otherwise("0 0")
+    line = F.concat_ws("\t", F.concat(F.lit("f"), "sample_id"), F.concat(F.lit("i"), "sample_id"), F.lit("0 0 1 -9"), *(call(F.col(f"d{i}")) for i in range(10)))
+    folder = shared_folder(v.spark, "ped")
+    cells.select(line.alias("value")).write.text(folder)
+    markers = v.spark.range(10).select(F.col("id").cast("int").alias("at"), F.concat(F.lit("m"), "id").alias("id"), F.lit("A").alias("a1"), F.lit("C").alias("a2"))
+    return text.melt_ped(text.scan_ped(text.read_lines(v.spark, folder)), F.broadcast(markers))
+
+
 CELLS_SQL = """, cell AS (SELECT variant_id, sample_id % 10 AS s, max(dosage) AS d FROM genotypes GROUP BY 1, 2), grid AS (SELECT DISTINCT variant_id, s FROM genotypes CROSS JOIN (SELECT unnest(range(0, 10)) AS s))"""
 
 
@@ -708,11 +730,9 @@ def _(v):
 
 @query("scan_delimited", "SELECT sample_id, case_status FROM samples")
 def _(v):
-    line = F.concat_ws("\t", F.col("sample_id").cast("string"), F.coalesce(F.col("case_status").cast("string"), F.lit("NA")))
-    f = F.split("value", "\t")
-    from varloom.functions.alleles import missing_to_null
-
-    return v.samples.select(line.alias("value")).select(f[0].cast("long").alias("sample_id"), missing_to_null(f[1]).cast("int").alias("case_status"))
+    folder = shared_folder(v.spark, "samples")
+    v.samples.select("sample_id", "case_status").write.csv(folder, sep="\t", header=True, nullValue="NA")
+    return text.scan_delimited(v.spark, folder, "sample_id long, case_status int")
 
 
 @query("sink_nested_json", """SELECT variant_id, '{"gene":"' || gene || '","pos":' || pos || '}' AS document FROM variants""")
