@@ -203,3 +203,24 @@ def test_kinship_comes_from_the_genotypes(spark):
     kept, gone = kinship.kinship_drop(genotypes, variants, 0.6, 0.05, window=10, step=5, most_r2=0.95)
     assert kept.count() == markers
     assert [r.sample_id for r in gone.collect()] == [7]
+
+
+def test_few_calls_of_many_samples_are_listed(spark, monkeypatch):
+    """Sites with few calls: the pairs of blocks, which grow with the square of the samples, are not made."""
+    rng = random.Random(4)
+    rows = sorted({(s, 40 * (s // 20) + rng.randrange(40)) for s in range(400) for _ in range(25)})
+    genotypes = spark.createDataFrame([(s, v, rng.randint(0, 2)) for s, v in rows], "sample_id long, variant_id long, dosage int")
+
+    def found():
+        return {(r.id1, r.id2): tuple(r)[2:] for r in kinship.ibd_estimate(genotypes, 0.1, 0.2, 3, (8, 32)).collect()}
+
+    blocks, listed = kinship._block_pairs, kinship._listed_pairs
+    monkeypatch.setattr(kinship, "_listed_pairs", lambda rows, buckets, *rest: blocks(kinship._planes(rows, (8, 32)), 400 // 8, *rest, (8, 32)))
+    want = found()
+    monkeypatch.setattr(kinship, "HELD_PAIRS", 50)
+    monkeypatch.setattr(kinship, "_listed_pairs", lambda rows, buckets, *rest: listed(rows, 7, *rest))
+    monkeypatch.setattr(kinship, "_block_pairs", None)
+    got = found()
+    assert got.keys() == want.keys() and len(got) > 100
+    for pair, shares in want.items():
+        assert got[pair] == pytest.approx(shares, abs=1e-9)

@@ -19,6 +19,8 @@ from varloom.operators.summaries import allele_freq
 
 #: Samples and sites of a block.  A pair of sample blocks holds four numbers for each of its pairs of samples.
 BLOCK = (256, 4096)
+#: Pairs of calls that a task lists, or holds before it counts them.
+HELD_PAIRS = 2_000_000
 #: Parts of a stretch's samples, which tasks of window_sums take side by side.
 SAMPLE_PARTS = 16
 #: Edges of a cover that one task finishes.
@@ -200,12 +202,93 @@ def _block_pairs(planes: DataFrame, last: int, least_shared: int, least: float,
     return ordered.mapInArrow(count, "a long, b long, ibs0 long, ibs1 long, ibs2 long, z0 double, z1 double, z2 double, pi_hat double")
 
 
+def _listed_pairs(rows: DataFrame, buckets: int, least_shared: int, least: float, e: dict[str, float]) -> DataFrame:
+    """The same rows as _block_pairs from pairs of calls, for sites that few samples are called at.
+
+    rows: at, site, dosage.  A site's calls meet in one task as four bytes each, sorted by sample; each goes to the bucket
+    of its sample with the calls after it, so that a pair of calls moves as four bytes.  A bucket's task counts them up.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        site, cell = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+        def sent(site: np.ndarray, cell: np.ndarray) -> Iterator[pa.RecordBatch]:
+            after = np.searchsorted(site, site, "right") - np.arange(len(site)) - 1
+            ends = np.cumsum(after)
+            start = 0
+            while start < len(site):
+                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + HELD_PAIRS, "right")))
+                bucket = (cell[start:stop] >> 2).astype(np.int64) % buckets
+                order = np.argsort(bucket, kind="stable")
+                names, firsts = np.unique(bucket[order], return_index=True)
+                made = []
+                for own in np.split(order + start, firsts[1:]):
+                    times = after[own]
+                    others = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(own + 1, times)
+                    made.append((cell[own].tobytes(), times.astype("<u4").tobytes(), cell[others].tobytes()))
+                columns = [pa.array(names, pa.int64()), *(pa.array(list(c), pa.binary()) for c in zip(*made))]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "cells", "times", "others"])
+                start = stop
+
+        for batch in batches:
+            site = np.concatenate([site, batch.column(0).to_numpy()])
+            cell = np.concatenate([cell, batch.column(1).to_numpy().astype("<u4")])
+            whole = int(np.searchsorted(site, site[-1])) if len(site) else 0  # the last site may go on in the next batch
+            yield from sent(site[:whole], cell[:whole])
+            site, cell = site[whole:], cell[whole:]
+        yield from sent(site, cell)
+
+    def finish(keys: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        pair, place = np.unique(keys >> np.uint64(2), return_inverse=True)
+        counts = np.zeros((3, len(pair)))
+        np.add.at(counts, ((keys & np.uint64(3)).astype(int), place), n)
+        wanted = counts.sum(axis=0) >= max(1, least_shared)
+        pair, (ibs2, ibs1, ibs0) = pair[wanted], counts[:, wanted]
+        z = descent_shares(ibs0, ibs1, ibs2, e)
+        seen = dict(zip(("ibs0", "ibs1", "ibs2"), (x.astype(np.int64) for x in (ibs0, ibs1, ibs2))))
+        rows = pd.DataFrame({"a": (pair >> np.uint64(30)).astype(np.int64), "b": (pair & np.uint64(2**30 - 1)).astype(np.int64)} | seen | dict(zip(("z0", "z1", "z2"), z)) | {"pi_hat": z[1] / 2 + z[2]})
+        return rows[rows["pi_hat"] >= least]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, keys, n = None, [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            every = np.concatenate([keys, *held])
+            times = np.concatenate([n, np.ones(len(every) - len(keys), np.int64)])
+            found, place = np.unique(every, return_inverse=True)
+            return found, np.bincount(place, times, len(found)).astype(np.int64)
+
+        for batch in batches:
+            for at, cells, times, others in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != bucket:
+                    if bucket is not None:
+                        yield pa.RecordBatch.from_pandas(finish(*merged()), preserve_index=False)
+                    bucket, held, keys, n = at, [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                x = np.repeat(np.frombuffer(cells, "<u4"), np.frombuffer(times, "<u4")).astype(np.uint64)
+                y = np.frombuffer(others, "<u4").astype(np.uint64)
+                far = np.abs((x & np.uint64(3)).astype(np.int8) - (y & np.uint64(3)).astype(np.int8)).astype(np.uint64)
+                made = ((x >> np.uint64(2)) << np.uint64(32)) | ((y >> np.uint64(2)) << np.uint64(2)) | far
+                held.append(made[x >> np.uint64(2) != y >> np.uint64(2)])
+                if sum(map(len, held)) > max(HELD_PAIRS, len(keys)):
+                    keys, n = merged()
+                    held = []
+        if bucket is not None:
+            yield pa.RecordBatch.from_pandas(finish(*merged()), preserve_index=False)
+
+    cells = rows.select("site", (F.col("at") * 4 + F.col("dosage")).cast("long").alias("cell"))
+    by_site = cells.repartition("site").sortWithinPartitions("site", "cell")
+    sent = by_site.mapInArrow(listed, "bucket long, cells binary, times binary, others binary")
+    ordered = sent.repartition(max(1, min(buckets, 4096)), "bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(count, "a long, b long, ibs0 long, ibs1 long, ibs2 long, z0 double, z1 double, z2 double, pi_hat double")
+
+
 def ibd_estimate(genotypes: DataFrame, least_maf: float, least: float = 0.0, least_shared: int = 1, block: tuple[int, int] = BLOCK) -> DataFrame:
     """id1, id2, ibs0, ibs1, ibs2, z0, z1, z2, pi_hat of pairs of samples with pi_hat of at least `least`.
 
     Sites of the frequency count, where both samples are called; pairs with fewer than least_shared such sites are left
-    out, and those whose shares cannot be worked out (no expected difference at all).  Sample blocks are packed into bit
-    planes, and products of planes give the counts of a pair of blocks, so that no site's carriers are ever paired as rows.
+    out, and those whose shares cannot be worked out (no expected difference at all).  Where sites have many calls, sample
+    blocks are packed into bit planes, and products of planes give the counts of a pair of blocks; where they have few,
+    pairs of calls are listed, which grows with the sites.  The way that moves fewer bytes is taken.
     """
     frequencies = durable(allele_freq(genotypes).filter(F.col("maf") >= least_maf).select("variant_id", "ac", "an"))
     found = expected_sharing(frequencies).first()
@@ -215,7 +298,13 @@ def ibd_estimate(genotypes: DataFrame, least_maf: float, least: float = 0.0, lea
     sites = durable(numbered(frequencies, "variant_id", "site"))
     size = samples.agg(F.max("at").alias("m")).first()["m"]
     rows = called.join(sites, "variant_id").join(samples, "sample_id").select("at", "site", "dosage")
-    pairs = _block_pairs(durable(_planes(rows, block)), (size or 0) // block[0], least_shared, least, e, block)
+    n = frequencies.agg(F.sum("an").alias("calls"), F.sum(F.col("an").cast("double") * F.col("an")).alias("squares"), F.count("*").alias("sites")).first()
+    listed, blocks = (n["squares"] or 0) / 8, (size or 0) // block[0] + 1  # an is twice the calls
+    stored = min(2.0 * (n["calls"] or 0), 3 / 8 * blocks * block[0] * n["sites"])
+    if 4 * listed <= stored * blocks:
+        pairs = _listed_pairs(rows, int(listed / HELD_PAIRS) + 1, least_shared, least, e)
+    else:
+        pairs = _block_pairs(durable(_planes(rows, block)), blocks - 1, least_shared, least, e, block)
     named = pairs.join(samples.select(F.col("at").alias("a"), F.col("sample_id").alias("s1")), "a").join(samples.select(F.col("at").alias("b"), F.col("sample_id").alias("s2")), "b")
     return named.select(F.least("s1", "s2").alias("id1"), F.greatest("s1", "s2").alias("id2"), "ibs0", "ibs1", "ibs2", "z0", "z1", "z2", "pi_hat")
 
