@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.operators.durable import durable
-from varloom.operators.graphs import connected_components
+from varloom.operators.graphs import connected_components, numbered
 from varloom.operators.intervals import position_rank
 from varloom.operators.summaries import allele_freq
 
@@ -75,15 +75,6 @@ def descent_shares(ibs0: np.ndarray, ibs1: np.ndarray, ibs2: np.ndarray, e: dict
     return z
 
 
-def numbered(rows: DataFrame, key: str, name: str, parts: int = 64) -> DataFrame:
-    """key and a gapless number from 0, by ranks within hash parts plus the sizes of the parts before."""
-    keys = rows.select(key).distinct().withColumn("__part", F.pmod(F.xxhash64(key), F.lit(parts)))
-    sizes = keys.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    own = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1
-    return keys.withColumn("__own", own).join(F.broadcast(before), "__part").select(key, (F.col("__before") + F.col("__own")).alias(name))
-
-
 def _stored(cells: np.ndarray, block: tuple[int, int]) -> bytes:
     """A block's cells (dosage, sample and site in one number): as they are if they are few, else as three bit planes."""
     whole = 3 * block[0] * block[1]
