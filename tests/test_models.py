@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from varloom.operators import graphs, statistics
 
@@ -79,3 +80,18 @@ def test_pca_with_restarts_over_blocks_and_parts(spark, monkeypatch):
     for pc in (1, 2):
         got = np.array([found[5 * i + 3, pc] for i in range(120)])
         assert abs(got @ want[:, pc - 1]) > 1 - 1e-8 and got[np.abs(got).argmax()] > 0
+
+
+def test_stacked_ridge_makes_no_matrix_of_blocks(spark, monkeypatch):
+    """Many blocks that each sample meets few of, as the dense ridge gives it, without summed outer products."""
+    monkeypatch.setattr(statistics, "outer_sums", None)
+    rng = np.random.default_rng(6)
+    blocks, n = 60, 80
+    x = np.where(rng.random((n, blocks)) < 0.1, rng.normal(0, 3, (n, blocks)), 0.0)
+    y = rng.normal(0, 1, n)
+    rows = [(b % 3 + 1, b // 3, s, float(y[s]), float(x[s, b])) for s in range(n) for b in range(blocks) if x[s, b]]
+    made = statistics.stacked(spark.createDataFrame(rows, "chrom int, block int, sample_id long, y double, prediction double"), 0.5)
+    for r in made.collect():
+        own = x[:, np.arange(blocks) % 3 + 1 != r.chrom]
+        w = np.linalg.solve(own.T @ own + 0.5 * np.eye(own.shape[1]), own.T @ y)
+        assert r.offset == pytest.approx(own[r.sample_id] @ w, rel=1e-7, abs=1e-9)

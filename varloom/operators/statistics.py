@@ -292,37 +292,90 @@ def outer_sums(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(column).mapInPandas(partial, "i int, j int, value double").groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 
-def stacked(predictors: DataFrame, ridge: float) -> DataFrame:
+def stacked(predictors: DataFrame, ridge: float, tolerance: float = 1e-12, most_rounds: int = 1000) -> DataFrame:
     """sample_id, chrom, offset: the ridge prediction of y from all blocks' predictions but those of the chromosome.
 
-    Blocks without a sample's prediction count as 0.  Block lists and Gram matrices are bounded by the number of
-    blocks (markers / block), not by samples.
+    Blocks without a sample's prediction count as 0.  The ridges of all left-out chromosomes are solved together by
+    conjugate gradients: a round sums, by block, each sample's predictions times its fitted values, so that no matrix of
+    blocks by blocks is made.  What goes to every task is a number for each block and chromosome.
     """
     blocks = predictors.select("chrom", "block").distinct()
     order = Window.orderBy("chrom", "block")  # one row for each block
     numbered = durable(blocks.withColumn("at", F.row_number().over(order) - 1))
-    size = numbered.count()
-    per = predictors.join(F.broadcast(numbered), ["chrom", "block"]).groupBy("sample_id").agg(F.first("y").alias("y"), F.map_from_entries(F.collect_list(F.struct("at", "prediction"))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    sums = outer_sums(per.select(F.concat(dense, F.array("y")).alias("x")), "x")
-    out = numbered.select(F.col("chrom").alias("left_out")).distinct()
-    chrom_of = numbered.select(F.col("at").alias("i"), F.col("chrom").alias("c"))
-    kept = sums.join(F.broadcast(out)).join(F.broadcast(chrom_of), "i").filter("c <> left_out")
-
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        index = {v: k for k, v in enumerate(sorted(set(group["i"])))}
-        g, h = np.zeros((len(index), len(index))), np.zeros(len(index))
-        for i, j, value in zip(group["i"], group["j"], group["value"]):
-            if j == size:
-                h[index[i]] = value
-            elif j in index:
-                g[index[i], index[j]] = value
-        w = np.linalg.solve(g + ridge * np.eye(len(index)), h)
-        return pd.DataFrame({"left_out": group["left_out"].iloc[0], "at": list(index), "w": w})
-
-    weights = kept.groupBy("left_out").applyInPandas(solve, "left_out int, at int, w double").join(F.broadcast(numbered), "at")
-    parts = predictors.join(weights.select("chrom", "block", "left_out", "w"), ["chrom", "block"])
-    return parts.groupBy("sample_id", F.col("left_out").alias("chrom")).agg(F.sum(F.col("w") * F.col("prediction")).alias("offset"))
+    own = np.array([r["chrom"] for r in numbered.orderBy("at").select("chrom").toLocalIterator()])
+    chroms = np.unique(own)
+    free = own[:, None] != chroms[None, :]  # blocks that a left-out chromosome's ridge may use
+    size, wide = free.shape
+    entries = F.collect_list(F.struct("at", "prediction"))
+    per = predictors.join(F.broadcast(numbered), ["chrom", "block"]).groupBy("sample_id").agg(F.first("y").alias("y"), entries.alias("m"))
+    per = durable(per.select("sample_id", "y", F.col("m.at").alias("at"), F.col("m.prediction").alias("prediction")))
+    context = predictors.sparkSession.sparkContext
+
+    def flat(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = np.repeat(np.arange(len(batch)), [len(x) for x in batch["at"]])
+        return rows, np.concatenate(batch["at"].tolist()).astype(np.int64), np.concatenate(batch["prediction"].tolist())
+
+    def by_block(values) -> np.ndarray:
+        """Sums over samples by block, of the columns that values gives for a batch's entries."""
+
+        def partial(batches):
+            total = None
+            for batch in batches:
+                if len(batch):
+                    rows, at, x = flat(batch)
+                    made = values(batch, rows, at, x)
+                    total = np.zeros((size, made.shape[1])) if total is None else total
+                    for k in range(made.shape[1]):
+                        total[:, k] += np.bincount(at, made[:, k], size)
+            if total is not None:
+                some = np.flatnonzero(total.any(axis=1))
+                yield pd.DataFrame({"at": some, "k": list(total[some])})
+
+        made = per.mapInPandas(partial, "at long, k array<double>").select("at", F.posexplode("k").alias("column", "value"))
+        summed = made.groupBy("at", "column").agg(F.sum("value").alias("value")).toPandas()
+        out = np.zeros((size, int(summed["column"].max()) + 1 if len(summed) else 1))
+        out[summed["at"], summed["column"]] = summed["value"]
+        return out
+
+    start = by_block(lambda batch, rows, at, x: np.column_stack([x * batch["y"].to_numpy()[rows], x * x]))
+    h, scale = start[:, :1] * free, start[:, 1:] + ridge
+    w, r = np.zeros((size, wide)), h.copy()
+    z = r / scale
+    p, rz = z.copy(), (r * z).sum(axis=0)
+    least = tolerance**2 * rz
+    for _ in range(most_rounds):
+        if (rz <= least).all():
+            break
+        sent = context.broadcast(p)
+
+        def product(batch, rows, at, x, sent=sent):
+            terms, fitted = x[:, None] * sent.value[at], np.zeros((len(batch), wide))
+            for k in range(wide):
+                fitted[:, k] = np.bincount(rows, terms[:, k], len(batch))
+            return x[:, None] * fitted[rows]
+
+        ap = np.where(free, by_block(product) + ridge * p, 0.0)
+        sent.destroy()
+        open_ = rz > least
+        step = np.where(open_, rz / np.where(open_, (p * ap).sum(axis=0), 1.0), 0.0)
+        w, r = w + step * p, r - step * ap
+        z = r / scale
+        after = np.where(open_, (r * z).sum(axis=0), rz)
+        p = np.where(open_, z + after / np.where(open_, rz, 1.0) * p, 0.0)
+        rz = after
+    else:
+        raise RuntimeError(f"the ridges of the blocks did not settle in {most_rounds} rounds")
+    weights, names = context.broadcast(w), [c.item() for c in chroms]
+
+    def offsets(batches):
+        for batch in batches:
+            if len(batch):
+                rows, at, x = flat(batch)
+                made = [np.bincount(rows, x * weights.value[at, k], len(batch)) for k in range(wide)]
+                yield pd.DataFrame({"sample_id": np.tile(batch["sample_id"].to_numpy(), wide), "chrom": np.repeat(names, len(batch)), "offset": np.concatenate(made)})
+
+    kinds = {f.name: f.dataType.simpleString() for f in predictors.schema}
+    return per.mapInPandas(offsets, f"sample_id {kinds['sample_id']}, chrom {kinds['chrom']}, offset double")
 
 
 def whole_genome_regression(genotypes: DataFrame, variants: DataFrame, samples: DataFrame, trait: str, block: int, ridge: float, least_mac: int = 5) -> DataFrame:
