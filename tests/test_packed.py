@@ -51,3 +51,16 @@ def test_ped_lines(spark):
     assert [tuple(c) for c in got["i1"].calls] == [("A", "A"), ("G", None)] and got["i3"].calls == [] and got["i3"].sex is None
     markers = spark.createDataFrame([(0, "m0", "A", "C"), (1, "m1", "G", "A")], "at int, id string, a1 string, a2 string")
     assert {(r.iid, r.id): r.dosage for r in text.melt_ped(people, markers).collect()} == {("i1", "m0"): 2, ("i1", "m1"): None, ("i2", "m0"): 1, ("i2", "m1"): None}
+
+
+def test_sizes_without_bytes_and_bytes_in_many_tasks(spark, monkeypatch):
+    rows = [(i, j, (i + j) % 3) for i in range(9) for j in range(40) if (i * j) % 4]
+    genotypes = spark.createDataFrame([*rows, (99, 1000, 1)], "sample_id long, variant_id long, dosage int")
+    samples = spark.createDataFrame([(i,) for i in range(13)], "sample_id long")
+    for name, value in (("TASK_BYTES", 8), ("BED_BYTES", 9)):
+        monkeypatch.setattr(sinks, name, value)
+    made = sinks.packed_bed(genotypes, samples)
+    assert made.rdd.getNumPartitions() >= 15  # 30 variants of four bytes
+    sizes = sinks.bed_sizes(genotypes, samples)
+    assert "MapInArrow" not in sizes._jdf.queryExecution().toString() and "collect_list" not in sizes._jdf.queryExecution().toString()
+    assert {r.variant_id: r.bytes for r in sizes.collect()} == {r.variant_id: len(r.bed) for r in made.collect()}
