@@ -17,3 +17,12 @@ def test_tasks_are_small_unless_the_session_says_otherwise(spark):
         assert spark.conf.get(ADVISORY) == "5m"
     finally:
         spark.conf.unset(ADVISORY) if before is None else spark.conf.set(ADVISORY, before)
+
+
+def test_sample_summary_takes_each_call_once(spark):
+    calls = spark.createDataFrame([(1, 1, 2), (1, 2, 1), (1, 3, None), (1, 4, 1), (2, 3, 0), (3, 5, 1)], "sample_id long, variant_id long, dosage int")
+    sites = spark.createDataFrame([(1, "PASS", "a"), (2, "LowQual", "b"), (3, None, "a"), (4, "LowQual", "a"), (5, ".", None)], "variant_id long, filter string, gene string")
+    out = summaries.sample_summary(calls, sites)
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.columns == ["sample_id"] + [f"{c}_{s}" for s in ("raw", "pass") for c in ("calls", "variant_calls", "alt_alleles", "genes")]
+    assert sorted(map(tuple, out.collect())) == [(1, 3, 3, 4, 2, 1, 1, 2, 1), (2, 1, 0, 0, 0, 0, 0, 0, 0), (3, 1, 1, 1, 0, 1, 1, 1, 0)]
