@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from varloom.operators import summaries
+import numpy as np
+
+from varloom.operators import graphs, kinship, permutation, summaries
 from varloom.plans.registry import ADVISORY, TASK_BYTES, small_tasks
 
 
@@ -26,3 +28,16 @@ def test_sample_summary_takes_each_call_once(spark):
     assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.columns == ["sample_id"] + [f"{c}_{s}" for s in ("raw", "pass") for c in ("calls", "variant_calls", "alt_alleles", "genes")]
     assert sorted(map(tuple, out.collect())) == [(1, 3, 3, 4, 2, 1, 1, 2, 1), (2, 1, 0, 0, 0, 0, 0, 0, 0), (3, 1, 1, 1, 0, 1, 1, 1, 0)]
+
+
+def test_permutations_spread_their_samples(spark):
+    traits = spark.range(9000).selectExpr("id AS sample_id", "cast(id % 2 AS double) AS y").coalesce(1)
+    assert permutation._spread(traits).rdd.getNumPartitions() == 9000 // permutation.SAMPLES_A_TASK
+
+
+def test_values_of_few_levels_move_as_bytes(spark):
+    values = spark.createDataFrame([(1, [0.5, 2.0, 0.5]), (2, [2.0, 2.0, 0.5])], "sample_id long, ys array<double>")
+    few = {r["sample_id"]: bytes(r["ys"]) for r in permutation._packed(values, np.array([0.5, 2.0])).collect()}
+    assert few == {1: b"\0\1\0", 2: b"\1\1\0"}
+    whole = {r["sample_id"]: np.frombuffer(r["ys"]).tolist() for r in permutation._packed(values, None).collect()}
+    assert whole == {1: [0.5, 2.0, 0.5], 2: [2.0, 2.0, 0.5]}
