@@ -41,3 +41,30 @@ def test_values_of_few_levels_move_as_bytes(spark):
     assert few == {1: b"\0\1\0", 2: b"\1\1\0"}
     whole = {r["sample_id"]: np.frombuffer(r["ys"]).tolist() for r in permutation._packed(values, None).collect()}
     assert whole == {1: [0.5, 2.0, 0.5], 2: [2.0, 2.0, 0.5]}
+
+
+def test_sums_of_markers_take_samples_of_several_calls(spark):
+    rng = np.random.default_rng(4)
+    calls = sorted({(int(s), int(v)) for s, v in zip(rng.integers(0, 300, 900), rng.integers(0, 40, 900))})
+    calls = [(s, v, (s * v) % 3) for s, v in calls] + [(1000 + i, i % 40, 2) for i in range(200)]  # these have one call each
+    genotypes = spark.createDataFrame(calls, "sample_id long, variant_id long, dosage int")
+    ranked = spark.createDataFrame([(v, 1, v) for v in range(40)], "variant_id long, chrom int, r long")
+    found = {(r["r1"], r["r2"]): (r["n"], r["sx"], r["sy"], r["sxy"]) for r in kinship.window_sums(genotypes, ranked, 10).collect()}
+    by = {}
+    for s, v, d in calls:
+        by.setdefault(s, []).append((v, d))
+    want = {}
+    for own in by.values():
+        for a, x in own:
+            for b, y in own:
+                if a < b < a // 10 * 10 + 20:
+                    want[a, b] = tuple(np.add(want.get((a, b), (0, 0, 0, 0)), (1, x, y, x * y)).tolist())
+    assert found == want
+
+
+def test_families_are_a_stream(spark):
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(400) if i % 4 != 3], "id1 long, id2 long")
+    out = kinship.unrelated_set(pairs, exact_up_to=24)
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
+    # of a chain a - b - c - d, b with c or d is the earliest smallest set after a with c
+    assert sorted(r[0] for r in out.collect()) == sorted(x for i in range(0, 400, 4) for x in (i, i + 2))

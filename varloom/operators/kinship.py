@@ -317,6 +317,9 @@ def window_sums(genotypes: DataFrame, ranked: DataFrame, window: int) -> DataFra
         rest = None
 
         def add(rows: pd.DataFrame) -> None:
+            # a sample with one call in the stretch is in no pair of markers; most are, where calls are sparse
+            first = np.append(True, np.logical_or.reduce([rows[c].to_numpy()[1:] != rows[c].to_numpy()[:-1] for c in ("chrom", "stretch", "sample_id")]))[: len(rows)]
+            rows = rows[~(first & np.append(first[1:], True)[: len(rows)])]
             for key, own in rows.groupby(["chrom", "stretch"], sort=False):
                 ids, sample = np.unique(own["sample_id"].to_numpy(), return_inverse=True)
                 for at in range(0, len(ids), 4096):
@@ -602,10 +605,26 @@ def unrelated_set(pairs: DataFrame, preference: DataFrame | None = None, exact_u
     named = durable(edges.join(families, F.col("a") == F.col("node")).join(small.withColumn("small", F.lit(True)), "component", "left").select("component", "a", "b", F.col("small").isNotNull().alias("small")))
     rows = named.filter("small").join(rank.toDF("a", "ra"), "a").join(rank.toDF("b", "rb"), "b")
 
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"sample_id": exact_cover(list(zip(group["a"], group["b"])), _ranks(group))}, dtype=np.int64)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family, edges, known = None, [], {}
 
-    exact = rows.groupBy("component").applyInPandas(one, "sample_id long")
+        def dropped() -> list:
+            return exact_cover(edges, {k: math.inf if v is None or v != v else v for k, v in known.items()}) if edges else []
+
+        for batch in batches:
+            out = []
+            for c, a, b, ra, rb in zip(*(col.to_pylist() for col in batch.columns)):
+                if c != family:  # the last family may go on in the next batch
+                    out += dropped()
+                    family, edges, known = c, [], {}
+                edges.append((a, b))
+                known |= {a: ra, b: rb}
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["sample_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(dropped(), pa.int64())], names=["sample_id"])
+
+    # families are small and many, so a task takes them as a stream, not one call for each
+    ordered = rows.select("component", "a", "b", "ra", "rb").repartition("component").sortWithinPartitions("component")
+    exact = ordered.mapInArrow(each, "sample_id long")
     large = durable(named.filter("not small").select("a", "b"))
     if not large.limit(1).count():
         return exact
