@@ -62,6 +62,13 @@ def test_sums_of_markers_take_samples_of_several_calls(spark):
     assert found == want
 
 
+def test_a_mixture_reads_rows_as_matrices(spark):
+    rows = spark.range(1000).selectExpr("array(cast(id AS double), cast(id % 7 AS double)) AS x").coalesce(1)
+    blocks = graphs._row_blocks(rows).collect()
+    assert len(blocks) == 1
+    assert np.frombuffer(blocks[0]["x"]).reshape(-1, 2)[:, 1].sum() == sum(i % 7 for i in range(1000))
+
+
 def test_families_are_a_stream(spark):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(400) if i % 4 != 3], "id1 long, id2 long")
     out = kinship.unrelated_set(pairs, exact_up_to=24)
