@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
+from pyspark.sql import functions as F
+
 
 from varloom.operators import graphs, kinship, permutation, summaries
 from varloom.plans.registry import ADVISORY, TASK_BYTES, small_tasks
@@ -75,3 +79,14 @@ def test_families_are_a_stream(spark):
     assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
     # of a chain a - b - c - d, b with c or d is the earliest smallest set after a with c
     assert sorted(r[0] for r in out.collect()) == sorted(x for i in range(0, 400, 4) for x in (i, i + 2))
+
+
+def test_a_checkpoint_of_kinship_leaves_no_shuffle_behind(spark):
+    blocks = spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager()
+    held = lambda: sum(1 for b in blocks.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle_"))
+    before = held()
+    rows = kinship.durable(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    # files are removed in the background
+    left = next((n for _ in range(50) if (n := held()) <= before or time.sleep(0.1)), held())
+    assert left <= before
+    assert len(rows.collect()) == 7

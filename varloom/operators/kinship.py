@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.operators.durable import durable
+from varloom.operators.durable import released as durable
 from varloom.operators.graphs import connected_components, numbered
 from varloom.operators.intervals import position_rank
 from varloom.operators.summaries import allele_freq
