@@ -41,3 +41,38 @@ def test_a_crowd_of_near_copies_is_one_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
     assert got == {i: 0 for i in range(500)} | {1000: 1000}
+
+
+def test_pairs_of_a_crowd_that_are_no_links_are_not_listed(spark, monkeypatch):
+    listed = []
+    confirmed = simhash.Texts.confirmed
+
+    def counted(self, pairs):
+        pairs = simhash.settled(pairs)
+        listed.append(pairs.count())
+        return confirmed(self, pairs)
+
+    monkeypatch.setattr(simhash.Texts, "confirmed", counted)
+    rng = random.Random(3)
+    rows = []
+    for at in range(0, 300, 50):  # crowds of texts that are 0.6 to 0.75 similar, with one link in each
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        for i in range(at, at + 49):
+            text = base.copy()
+            for k in rng.sample(range(300), 9):
+                text[k] = f"x{i}y{k}"
+            rows.append((i, " ".join(text)))
+        rows.append((at + 49, rows[-1][1] + " end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert {(at + 48, at + 49) for at in range(0, 300, 50)} <= set(links) and len(links) < 60
+    root = {i: i for i in sets}
+    for i, j in links:
+        least, most = sorted((root[i], root[j]))
+        root = {k: least if r == most else r for k, r in root.items()}
+    assert got == root
+    # a pair for each text in a round of leaders, then links alone
+    assert len(listed) == simhash.LEADER_ROUNDS + 1 and max(listed[:-1]) <= len(rows)
+    assert listed[-1] <= len(links)

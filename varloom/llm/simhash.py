@@ -40,9 +40,7 @@ LEADERS = 8
 FULL, TIMES_MEAN = 2, 1
 #: Rounds in which every text meets its nearest leader of another component, before candidates are listed.
 LEADER_ROUNDS = 2
-#: Members of a band's bucket beyond which the bucket's pairs are compared inside the join, by their sets.
-CROWD = 64
-#: Memberships of crowded bands that a task compares.
+#: Memberships of bands that a task compares.
 CROWD_ROWS = 500
 #: Gives one side's column by name.
 Side = Callable[[str], Column]
@@ -405,15 +403,15 @@ def linked_sets(nodes: DataFrame, tau: int, far: int, far_alone: int, texts: Tex
 
     Candidates meet in a bucket of the fingerprint (tau) or in a band, and differ in at most `far` of the wide bits;
     those that meet in no band, a small share of true links, in at most `far_alone`.  Rounds of leaders join what
-    belongs together first, so that only pairs across components are left to compare: those of crowded bands by
-    their sets inside the join, which lists hardly any but true links, the others as rows.
+    belongs together first, so that only pairs across components are left to compare.  They are compared by their
+    sets inside the joins, which list true links alone: the pairs of a group that are none grow with its square.
     """
     wide = [f"w{i}" for i in range(len(MIX))]
     short = [f"s{j}" for j in range(BANDS // 4)]
     hole = Pigeonhole(nodes.select("node", "fp"), tau)
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = settled(banded.join(sizes, "bucket"))
+    shared = settled(banded.join(sizes.select("bucket"), "bucket"))
     tasks = tasks_for(shared.count())
     placed = nodes.select("node", "fp", *wide, *short_bands(), F.col("node").alias("comp"))
 
@@ -444,28 +442,30 @@ def linked_sets(nodes: DataFrame, tau: int, far: int, far_alone: int, texts: Tex
     asks = ~largest(placed)
     p, s = (lambda c: F.col(f"p.{c}")), (lambda c: F.col(f"s.{c}"))
     pair = [F.least(p("node"), s("node")).alias("a"), F.greatest(p("node"), s("node")).alias("b")]
-    # probes are many, so they carry the wide bits only into crowded buckets, whose pairs the join must not list
+    # probes are many, so they carry the wide bits only into crowded buckets
     lonely = (apart(p, s) <= far_alone) & ~in_one_band(p, s)
-    meets = (p("bucket") == s("bucket")) & (p("comp") != s("comp")) & (distance(p("fp"), s("fp")) <= tau) & ((p("crowded") == 0) | lonely)
-    met = hole.probes(placed.filter(asks), (*wide, *short)).alias("p").join(hole.stored(placed).hint("shuffle_hash").alias("s"), meets).select(*pair).distinct()
-    ends = placed.select("node", *wide, *short)
-    both = met.join(ends.alias("p"), F.col("a") == p("node")).join(ends.alias("s"), F.col("b") == s("node"))
-    alone = both.filter(lonely).select("a", "b")
+    meets = (p("bucket") == s("bucket")) & (p("comp") != s("comp")) & (distance(p("fp"), s("fp")) <= tau)
+    # the probes that meet anyone, then whom they meet: only these take their sets into the join
+    probes, stored = hole.probes(placed.filter(asks), (*wide, *short)).alias("p"), hole.stored(placed)
+    hits = probes.join(stored.hint("shuffle_hash").alias("s"), meets & ((p("crowded") == 0) | lonely), "left_semi")
+    asking = settled(hits.select("node", "bucket").distinct().join(placed, "node"))
+    answering = settled(stored.alias("s").join(asking.alias("p"), meets & lonely, "left_semi"))
     # every pair of components once, from the side that asks
     first = (p("comp") != s("comp")) & (~s("asks") | (p("comp") < s("comp")))
     held = of(shared).withColumn("asks", asks)
     mixed = held.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("bucket")
     held = settled(held.join(mixed, "bucket"))
-    # a crowd's rows are compared with many others, so a task takes few of them
-    crowd_tasks = tasks_for(held.filter(F.col("n") > CROWD).count(), CROWD_ROWS)
-    few, crowds = held.filter(F.col("n") <= CROWD), held.filter(F.col("n") > CROWD)
     near = (p("bucket") == s("bucket")) & first & (apart(p, s) <= far)
-    together = few.filter("asks").alias("p").join(few.alias("s"), near)
-    sets = crowds.join(texts.sets(crowds.select("node").distinct()), "node")
-    alike = sets.filter("asks").alias("p").join(sets.alias("s"), near & texts.alike(p("shingles"), s("shingles")))
+    # a bucket's rows are compared with many others, so a task takes few of them
+    tasks = tasks_for(held.count() + asking.count() + answering.count(), CROWD_ROWS)
+    sets = settled(texts.sets(reduce(DataFrame.unionByName, (x.select("node") for x in (held, asking, answering))).distinct()))
+
+    def alike(left: DataFrame, right: DataFrame, meet: Column) -> DataFrame:
+        met = left.join(sets, "node").alias("p").join(right.join(sets, "node").alias("s"), meet & texts.alike(p, s))
+        return met.select(*pair).coalesce(tasks)
 
     def rows() -> DataFrame:
-        return alone.unionByName(together.select(*pair)).unionByName(alike.select(*pair).coalesce(crowd_tasks)).distinct()
+        return alike(asking, answering, meets & lonely).unionByName(alike(held.filter("asks"), held, near)).distinct()
 
     # no name holds the listed pairs, so that their shuffle files go before texts move
     return joined(placed, between(texts.confirmed(rows())).distinct()).select("node", F.col("comp").alias("root"))
@@ -548,21 +548,25 @@ class Texts:
         return settled(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long"))
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """node, shingles: the lower halves of the hashes of a text's distinct shingles."""
+        """node, shingles, lost: the lower halves of the hashes of a text's distinct shingles, and how many hashes share
+        a half with another."""
         nodes, size = settled(nodes), self.size
 
-        def halves(text: str) -> np.ndarray:
-            return np.unique(distinct_shingles(words_of(text), size).astype(np.uint32)).view(np.int32)
+        def halves(text: str) -> tuple[np.ndarray, int]:
+            whole = distinct_shingles(words_of(text), size)
+            own = np.unique(whole.astype(np.uint32)).view(np.int32)
+            return own, len(whole) - len(own)
 
         def work():
-            return lambda texts: (None, [list(map(halves, texts))])
+            return lambda texts: (None, list(zip(*map(halves, texts))))
 
-        return map_texts(self.of(nodes).join(nodes, "node", "left_semi"), ("node",), "text", {"shingles": "array<int>"}, work)
+        return map_texts(self.of(nodes).join(nodes, "node", "left_semi"), ("node",), "text", {"shingles": "array<int>", "lost": "long"}, work)
 
-    def alike(self, a: Column, b: Column) -> Column:
-        """Whether two such sets may be similar enough: halves that coincide (one in 2^32) are allowed for."""
-        both = F.size(F.array_intersect(a, b)) * F.lit(1.001) + 1
-        return both >= F.lit(self.least) * (F.size(a) + F.size(b) - both)
+    def alike(self, a: Side, b: Side) -> Column:
+        """Whether two such sets are similar enough: never no where their hashes are, as what they may have in common in
+        lost hashes is added; yes by halves that coincide is rare (one in 2^32)."""
+        both = F.size(F.array_intersect(a("shingles"), b("shingles"))) + F.least(a("lost"), b("lost"))
+        return both >= F.lit(self.least) * (F.size(a("shingles")) + a("lost") + F.size(b("shingles")) + b("lost") - both)
 
 
 def similar_rows(docs: DataFrame, size: int = 5, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
