@@ -34,6 +34,19 @@ def test_sample_summary_takes_each_call_once(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 3, 3, 4, 2, 1, 1, 2, 1), (2, 1, 0, 0, 0, 0, 0, 0, 0), (3, 1, 1, 1, 0, 1, 1, 1, 0)]
 
 
+def test_sample_summary_names_the_genes(spark):
+    """Genes hit by name, several at a site, and calls with a filter of their own."""
+    rows = [(1, 1, 2, "PASS"), (1, 2, 1, None), (1, 3, 1, "PASS"), (1, 4, 2, "q10"), (2, 1, 0, "PASS"), (2, 5, None, None)]
+    calls = spark.createDataFrame(rows, "sample_id long, variant_id long, dosage int, ft string")
+    sites = spark.createDataFrame([(1, "PASS", ["b", "a"]), (2, ".", ["a", "c"]), (3, "LowQual", ["d"]), (4, "PASS", ["e"]), (5, "PASS", None)], "variant_id long, filter string, gene array<string>")
+    found = {r["sample_id"]: r.asDict() for r in summaries.sample_summary(calls, sites, lists=True).collect()}
+    assert {n: found[1][n] for n in found[1] if n.endswith("_raw")} == {"calls_raw": 4, "variant_calls_raw": 4, "alt_alleles_raw": 6, "genes_raw": 5, "gene_list_raw": "a,b,c,d,e"}
+    assert {n: found[1][n] for n in found[1] if n.endswith("_pass")} == {"calls_pass": 2, "variant_calls_pass": 2, "alt_alleles_pass": 3, "genes_pass": 3, "gene_list_pass": "a,b,c"}
+    assert (found[2]["calls_raw"], found[2]["genes_raw"], found[2]["gene_list_raw"]) == (1, 0, "")
+    one = sites.withColumn("gene", F.col("gene")[0])
+    assert {r["sample_id"]: (r["genes_pass"], r["gene_list_pass"]) for r in summaries.sample_summary(calls, one, lists=True).collect()} == {1: (2, "a,b"), 2: (0, "")}
+
+
 def test_permutations_spread_their_samples(spark):
     traits = spark.range(9000).selectExpr("id AS sample_id", "cast(id % 2 AS double) AS y").coalesce(1)
     assert permutation._spread(traits).rdd.getNumPartitions() == 9000 // permutation.SAMPLES_A_TASK
