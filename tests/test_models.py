@@ -1,8 +1,10 @@
 """Components, stacked ridge and p-values against plain versions on small tables."""
 
 import math
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from varloom.operators import graphs, statistics
@@ -95,3 +97,42 @@ def test_stacked_ridge_makes_no_matrix_of_blocks(spark, monkeypatch):
         own = x[:, np.arange(blocks) % 3 + 1 != r.chrom]
         w = np.linalg.solve(own.T @ own + 0.5 * np.eye(own.shape[1]), own.T @ y)
         assert r.offset == pytest.approx(own[r.sample_id] @ w, rel=1e-7, abs=1e-9)
+
+
+def test_pca_leaves_no_rounds_behind(spark, monkeypatch):
+    """Neither checkpoints nor shuffle files grow with the rounds, and in the end only the scores' checkpoint is left."""
+    _, genotypes = cohort(spark, 40, 60, 8)
+    genotypes = genotypes.checkpoint() if spark.sparkContext.getCheckpointDir() else graphs.durable(genotypes)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    blocks = spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager()
+    held = lambda: sum(1 for b in blocks.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle_"))
+    before, files, gram, checkpoints = set(folder.glob("rdd-*")), [], graphs._gram, []
+    monkeypatch.setattr(graphs, "_gram", lambda basis: checkpoints.append(len(set(folder.glob("rdd-*")) - before)) or files.append(held()) or gram(basis))
+    graphs.pca(genotypes, 2)
+    assert len(checkpoints) > 5 and max(checkpoints) <= 3
+    assert len(set(folder.glob("rdd-*")) - before) == 1
+    # files are removed in the background
+    assert max(files[5:]) <= files[0] + 200
+
+
+def test_calls_of_the_matrix_are_small_and_come_by_block(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "PART_CALLS", 16 * 50)
+    rng = np.random.default_rng(9)
+    rows = [(int(s), v, int(d)) for v in range(30) for s, d in enumerate(rng.integers(0, 3, 20))]
+    rows += [(s, 99, 1 if s else None) for s in range(20)] + [(0, 100, 2), (None, 3, 2), (5, None, 1)]  # the last marker does not vary
+    calls = spark.createDataFrame(rows, "sample_id long, variant_id long, dosage int")
+    packed = graphs._packed_calls(calls).collect()
+    assert sum(r.calls for r in packed) == 30 * 20 + 19 and all(len(r.d) == r.calls and len(r.s) == 8 * r.calls for r in packed)
+    assert max(r.calls for r in packed) <= 80 and sum(len(r.n) // 4 for r in packed) == 31
+    assert sum(np.frombuffer(r.n, "<i4").sum() for r in packed) == 30 * 20 + 19
+    half = graphs._packed_calls(calls.withColumn("dosage", calls.dosage / 4)).collect()
+    assert all(len(r.d) == 8 * r.calls for r in half)
+    # blocks come as batches of their own, and only those with calls
+    tile = {"bounds": np.array([0, 2, 2, 3]), "v": np.array([0, 1, 1], "<i4"), "s": np.array([0, 3, 1], "<u2"), "d": np.array([0, 2, 1], "<i1"), "mean": np.array([1.0, 0.5]), "scale": np.array([1.0, 2.0])}
+    sent = {"block": pa.array([2, 0, 1], pa.int32()), "b": [np.ones((n, 2)).tobytes() for n in (2, 4, 4)]}
+    made = graphs._times(pa.table({k: pa.array([x.tobytes()], pa.binary()) for k, x in tile.items()}), pa.table(sent), 2)
+    assert made["block"].to_pylist() == [2, 0] and made["n"].num_chunks == 2
+    z = np.array([-1.0, 3.0, 1.0])
+    y = [z[0], z[1] + z[2]]
+    assert np.frombuffer(made["n"][0].as_py()).reshape(2, 2)[:, 0].tolist() == [0, z[2] * y[1]]
+    assert np.frombuffer(made["n"][1].as_py()).reshape(4, 2)[:, 1].tolist() == [z[0] * y[0], 0, 0, z[1] * y[1]]
