@@ -1,6 +1,7 @@
 """Packed and text pedigree files, against what was written."""
 
 import random
+import time
 
 import pytest
 
@@ -64,3 +65,23 @@ def test_sizes_without_bytes_and_bytes_in_many_tasks(spark, monkeypatch):
     sizes = sinks.bed_sizes(genotypes, samples)
     assert "MapInArrow" not in sizes._jdf.queryExecution().toString() and "collect_list" not in sizes._jdf.queryExecution().toString()
     assert {r.variant_id: r.bytes for r in sizes.collect()} == {r.variant_id: len(r.bed) for r in made.collect()}
+
+
+def test_packing_leaves_no_shuffle_behind(spark):
+    """The calls of a variant move as one array, and the shuffles before it are gone when the bytes are made."""
+    rows = [(i, j, (i + j) % 3 if (i + j) % 5 else None) for i in range(11) for j in range(50) if (i * j) % 4]
+    genotypes = spark.createDataFrame(rows, "sample_id long, variant_id long, dosage int").repartition(6)
+    samples = spark.createDataFrame([(i,) for i in range(11)], "sample_id long")
+    blocks = spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager()
+    held = lambda: {b for b in blocks.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle_")}
+    before = held()
+    made = sinks.packed_bed(genotypes, samples)
+    assert len([f for f in made._jdf.queryExecution().analyzed().toString().split("\n") if "LogicalRDD [variant_id" in f and f.count("#") == 2]) == 1
+    # numbering the samples is a query of its own, whose files stay; those of the calls are removed in the background
+    own = lambda: {b.split("_")[1] for b in held() - before}
+    left = next((n for _ in range(50) if len(n := own()) <= 1 or time.sleep(0.1)), own())
+    assert len(left) <= 1
+    codes = {0: 0, None: 1, 1: 2, 2: 3}
+    for r in made.collect():
+        calls = {i: codes[d] for i, j, d in rows if j == r.variant_id}
+        assert [r.bed[i // 4] >> 2 * (i % 4) & 3 for i in range(12)] == [calls.get(i, 1) if i < 11 else 0 for i in range(12)]
